@@ -32,6 +32,10 @@ def cents(c: str) -> Column:
     return F.round(F.col(c) * 100).cast("bigint")
 
 
+def _month(c: str) -> Column:
+    return (F.year(c) * 12 + F.month(c) - 1).cast("bigint")
+
+
 def gap_panel(spark: SparkSession, sf: str) -> DataFrame:
     """Order value per nation, month and priority; every fourth quarter is missing."""
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
@@ -39,7 +43,7 @@ def gap_panel(spark: SparkSession, sf: str) -> DataFrame:
     cells = (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .groupBy(F.col("c_nationkey").alias("entity_id"),
-                 (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).alias("period"),
+                 _month("o_orderdate").alias("period"),
                  F.col("o_orderpriority").alias("indicator_code"))
         .agg(F.sum(cents("o_totalprice")).alias("cents")))
     quarter = F.floor(F.col("period") / 3)
@@ -59,7 +63,7 @@ def star_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Dat
         F.col("n_nationkey").alias("countryiso3code"), F.col("n_name").alias("country_name"),
         F.col("r_name").alias("region"))
     orders = table(spark, sf, "orders")
-    period = orders.select((F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).alias("annee")).distinct()
+    period = orders.select(_month("o_orderdate").alias("annee")).distinct()
     indicator = orders.select(F.col("o_orderpriority").alias("indicator_code")).distinct().select(
         "indicator_code", F.substring("indicator_code", 3, 20).alias("indicator_name"), F.lit("EUR").alias("unit"))
     return fact, entity, period, indicator
@@ -176,21 +180,29 @@ YEARLY_SCORE_FROM = 2000
 
 
 def yearly_fact(spark: SparkSession, sf: str) -> DataFrame:
-    """Long facts per customer and year: orders per priority, order value, balance."""
-    orders = table(spark, sf, "orders").select(
-        F.concat(F.lit("C"), "o_custkey").alias("countryiso3code"), F.col("o_custkey"),
-        F.year("o_orderdate").cast("bigint").alias("annee"), "o_orderpriority", "o_totalprice")
-    cells = orders.groupBy("o_custkey", "countryiso3code", "annee", "o_orderpriority").agg(
-        F.count("*").alias("n"), F.sum(cents("o_totalprice")).alias("cents"))
-    counts = cells.select("countryiso3code", "annee", F.col("o_orderpriority").alias("indicator_code"),
-                          F.col("n").cast("double").alias("valeur"))
-    totals = cells.groupBy("o_custkey", "countryiso3code", "annee").agg((F.sum("cents") / F.lit(100.0)).alias("valeur"))
+    """Long facts per customer and year: orders per priority, order value, balance.
+
+    Every order adds to three of the facts, so one aggregation builds them all.
+    """
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
     customer = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    balances = totals.join(customer, totals.o_custkey == customer.c_custkey).select(
-        "countryiso3code", "annee", F.lit("BALANCE").alias("indicator_code"), F.col("c_acctbal").alias("valeur"))
-    return counts.unionByName(
-        totals.select("countryiso3code", "annee", F.lit(YEARLY_TOTAL).alias("indicator_code"), "valeur")
-    ).unionByName(balances)
+
+    def part(code: Column, amount: Column) -> Column:
+        return F.struct(code.alias("indicator_code"), amount.cast("bigint").alias("amount"))
+
+    parts = F.explode(F.array(
+        part(F.col("o_orderpriority"), F.lit(1)), part(F.lit(YEARLY_TOTAL), cents("o_totalprice")),
+        part(F.lit("BALANCE"), F.lit(None)))).alias("_part")
+    cells = (
+        orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+        .select("o_custkey", F.year("o_orderdate").cast("bigint").alias("annee"), "c_acctbal", parts)
+        .groupBy("o_custkey", "annee", "_part.indicator_code")
+        .agg(F.sum("_part.amount").alias("amount"), F.max("c_acctbal").alias("balance")))
+    value = (F.when(F.col("indicator_code") == "BALANCE", F.col("balance"))
+             .when(F.col("indicator_code") == YEARLY_TOTAL, F.col("amount") / F.lit(100.0))
+             .otherwise(F.col("amount").cast("double")))
+    return cells.select(F.concat(F.lit("C"), "o_custkey").alias("countryiso3code"), "annee", "indicator_code",
+                        value.alias("valeur"))
 
 
 def yearly_totals(spark: SparkSession, sf: str) -> DataFrame:

@@ -424,7 +424,7 @@ ORACLE["missing_profile"] = f"WITH {_MART}\n" + _each(
 
 ORACLE["dataset_profile"] = f"""
 WITH {_MART}
-SELECT count(*) AS n_rows, 11 AS n_columns, min(annee) AS first_period, max(annee) AS last_period FROM mart"""
+SELECT count(*) AS n_rows, CAST(11 AS BIGINT) AS n_columns, min(annee) AS first_period, max(annee) AS last_period FROM mart"""
 
 # ------------------------------------------------------------- model
 

@@ -277,7 +277,9 @@ def median_fill(spark, sf):
 
 @query
 def gap_treatment(spark, sf):
-    return gaps.treat_gaps(I.gap_panel(spark, sf), I.GAP_PANEL, I.GAP_RULES)
+    """As in the warehouse, the panel is stored by indicator before it is treated."""
+    panel = tables.stored(I.gap_panel(spark, sf), scratch(spark, "panel"), ["indicator_code"])
+    return gaps.treat_gaps(panel, I.GAP_PANEL, I.GAP_RULES)
 
 
 # ------------------------------------------------------------- dimensions, star
@@ -536,9 +538,10 @@ def dq_suite(spark, sf):
     known = pages.entity_metadata(I.entities(spark, sf)).filter(~F.col("income_level").eqNullSafe(F.lit("HOUSEHOLD")))
     built = {"raw": I.raw_events(spark, sf), "metadata": known}
     built["staging"] = tables.stored(staging.stage(built["raw"], known), f"{base}/staging", ["indicator_code"])
-    built["dim_entity"] = star.dim_entity(built["staging"])
-    built["dim_period"] = star.dim_period(built["staging"])
-    built["dim_indicator"] = star.dim_indicator(built["staging"], {"click": "Clics"})
+    built["dim_entity"] = tables.stored(star.dim_entity(built["staging"]), f"{base}/dim_entity")
+    built["dim_period"] = tables.stored(star.dim_period(built["staging"]), f"{base}/dim_period")
+    built["dim_indicator"] = tables.stored(
+        star.dim_indicator(built["staging"], {"click": "Clics"}), f"{base}/dim_indicator")
     event_gaps = gaps.GapRules(interpolate=("click", "view"), median=("error",), rounded=("view",))
     built["fact"] = tables.stored(gaps.build_fact(built["staging"], rules=event_gaps), f"{base}/fact", ["indicator_code"])
     return quality.run_suite(built)

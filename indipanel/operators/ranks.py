@@ -1,9 +1,9 @@
 """Exact rank selection without gathering a group in one task.
 
 Equal values are counted first (combined before the shuffle). The wanted rank is
-then located in an ordered histogram, coarse to fine, and only the bucket that
-holds it is looked at more closely. No task orders more rows than a histogram has
-buckets, however many rows one group has.
+then located in an ordered histogram, and only the bucket that holds it is looked at
+more closely. A task orders the buckets of a histogram or the distinct values of one
+bucket, however many rows a group has.
 """
 
 from __future__ import annotations
@@ -11,25 +11,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A double has about 2,100 binary exponents per sign; each is cut into this many steps.
+# Histogram buckets per doubling of a value.
 _STEPS = 65_536
 
 # Leading hash characters used as histogram buckets: 16 ** 4 of them.
 _PREFIX = 4
 
 
-def _exponent(v: Column) -> Column:
-    """Signed magnitude class: never decreases as the value grows."""
-    return F.when(v == 0, F.lit(0)).otherwise(
-        F.signum(v).cast("bigint") * (F.floor(F.log2(F.abs(v))) + 1100))
-
+def _bucket(v: Column) -> Column:
+    """Histogram bucket of a double: never decreases as the value grows.
 
-def _step(v: Column) -> Column:
-    """Position inside the magnitude class, again non-decreasing in the value."""
-    low = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(v))).cast("double"))
-    step = F.floor((F.abs(v) / low - 1) * _STEPS)
-    step = F.least(F.greatest(step, F.lit(0)), F.lit(_STEPS - 1))
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * step)
+    Binary exponent and position below the next one, so the buckets have a relative
+    width of 1 / _STEPS and need no knowledge of the value range.
+    """
+    size = F.abs(v)
+    exponent = F.floor(F.log2(size))
+    low = F.pow(F.lit(2.0), exponent.cast("double"))
+    step = F.least(F.greatest(F.floor((size / low - 1) * _STEPS), F.lit(0)), F.lit(_STEPS - 1))
+    return F.when(v == 0, F.lit(0)).otherwise(
+        F.signum(v).cast("bigint") * ((exponent + 1100) * _STEPS + step))
 
 
 def _rows_before(order: Column, group: list[str] = ()) -> Column:
@@ -41,30 +41,28 @@ def _holds(rank: str) -> Column:
     return (F.col("_below") <= F.col(rank)) & (F.col(rank) < F.col("_below") + F.col("_n"))
 
 
-def _buckets_of_rank(histogram: DataFrame, group: list[str], level: str) -> DataFrame:
-    """The one or two buckets per group that hold the ranks _lo and _hi."""
-    below = F.col("_below") + _rows_before(F.col(level), group)
-    return histogram.withColumn("_below", below).filter(_holds("_lo") | _holds("_hi"))
-
-
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
-    """Interpolated median of the non-null values: one row per key (keys not NULL)."""
+    """Interpolated median of the non-null values: one row per key (keys not NULL).
+
+    The histogram of a group tells the bucket of its middle ranks; only the values of
+    that bucket are put in order.
+    """
     v = F.col(value)
     values = (
         df.filter(v.isNotNull())
         .groupBy(*keys, v.cast("double").alias("_value")).agg(F.count("*").alias("_n"))
-        .withColumns({"_exp": _exponent(F.col("_value")), "_step": _step(F.col("_value"))})
+        .withColumn("_bucket", _bucket(F.col("_value")))
     )
-    exp, step = [*keys, "_exp"], [*keys, "_exp", "_step"]
-    fine = values.groupBy(*step).agg(F.sum("_n").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(*keys))
-    coarse = fine.groupBy(*exp).agg(F.sum("_n").alias("_n")).withColumns({
-        "_below": F.lit(0), "_lo": F.floor((total - 1) / 2), "_hi": F.floor(total / 2)})
-
-    at_exp = _buckets_of_rank(coarse, keys, "_exp").drop("_n")
-    at_step = _buckets_of_rank(fine.join(at_exp, exp), exp, "_step").drop("_n")
-    middle = _buckets_of_rank(values.join(at_step, step), step, "_value")
-    return middle.groupBy(*keys).agg(
+    middle = (
+        values.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
+        .withColumns({"_lo": F.floor((total - 1) / 2), "_hi": F.floor(total / 2),
+                      "_below": _rows_before(F.col("_bucket"), keys)})
+        .filter(_holds("_lo") | _holds("_hi")).drop("_n")
+    )
+    below = F.col("_below") + _rows_before(F.col("_value"), [*keys, "_bucket"])
+    ordered = values.join(middle, [*keys, "_bucket"]).withColumn("_below", below)
+    return ordered.groupBy(*keys).agg(
         (F.max(F.when(_holds("_lo"), F.col("_value"))) * 0.5
          + F.max(F.when(_holds("_hi"), F.col("_value"))) * 0.5).alias(name))
 
