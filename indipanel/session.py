@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "20g") -> SparkSession:
+def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "20g",
+                  checkpoint_dir: str | None = None) -> SparkSession:
     """Session for tests and benchmarks; a cluster supplies its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("indipanel")
         .config("spark.driver.memory", memory)
@@ -19,8 +20,10 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    return builder.getOrCreate()
 
 
 def scratch(spark: SparkSession, name: str) -> str:

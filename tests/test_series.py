@@ -1,0 +1,74 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from indipanel.operators import reports
+from indipanel.operators.gaps import published_neighbours
+from indipanel.operators.series import attach, neighbours
+from indipanel.rules import Panel
+
+PANEL = Panel("e", "t", "i", "v", "h")
+SCHEMA = "e int, i string, t bigint, v double, h string"
+
+
+def brute(data):
+    """previous/next published row by position in (t, h) order."""
+    out = {}
+    for key in {(r[0], r[1]) for r in data}:
+        series = sorted([r for r in data if (r[0], r[1]) == key], key=lambda r: (r[2], r[4]))
+        for n, r in enumerate(series):
+            before = [s for s in series[:n] if s[3] is not None]
+            after = [s for s in series[n + 1:] if s[3] is not None]
+            p, a = (before or [None])[-1], (after or [None])[0]
+            out[r] = (p and p[3], p and p[2], a and a[3], a and a[2])
+    return out
+
+
+def random_panel(seed, n=400):
+    rnd = random.Random(seed)
+    return [(rnd.choice([1, 1, 1, 2]), rnd.choice("ab"), rnd.randint(0, 60), None if rnd.random() < 0.6 else float(n_), f"{n_:04d}")
+            for n_ in range(n)]
+
+
+@pytest.mark.parametrize("levels", [
+    lambda: None,
+    lambda: [F.floor(F.col("t") / 7)],
+    lambda: [F.floor(F.col("t") / 7), F.col("t"), F.substring("h", 1, 2)],
+], ids=["default", "narrow", "finer than a period"])
+def test_neighbours_equal_brute_force_for_any_block_size(spark, levels):
+    data = random_panel(7)
+    got = published_neighbours(spark.createDataFrame(data, SCHEMA), PANEL, levels())
+    found = {tuple(r)[:5]: tuple(r)[5:] for r in got.collect()}
+    assert found == brute(data)
+
+
+def test_single_row_all_null_and_edges(spark, rows):
+    data = [(1, "a", 2000, 5.0, "x"), (2, "a", 2000, None, "x"), (2, "a", 2001, None, "x"),
+            (3, "a", 1, None, "x"), (3, "a", 2, 1.0, "x"), (3, "a", 3, None, "x")]
+    got = published_neighbours(spark.createDataFrame(data, SCHEMA), PANEL)
+    assert rows(got, "e", "t", "previous_t", "next_t") == [
+        (1, 2000, None, None), (2, 2000, None, None), (2, 2001, None, None),
+        (3, 1, None, 2), (3, 2, None, None), (3, 3, 2, None)]
+
+
+def test_evolution_counts_missing_rows_as_rows(spark, rows):
+    data = [(1, "a", 1, 2.0, "x"), (1, "a", 2, None, "x"), (1, "a", 300, 8.0, "x"), (1, "a", 301, 0.0, "x"), (1, "a", 302, 1.0, "x")]
+    got = reports.evolution(spark.createDataFrame(data, SCHEMA), PANEL)
+    assert rows(got, "t", "previous_t", "previous_v", "change", "change_rate") == [
+        (1, None, None, None, None), (2, 1, 2.0, None, None), (300, 2, None, None, None),
+        (301, 300, 8.0, -8.0, -1.0), (302, 301, 0.0, 1.0, None)]
+
+
+def test_attach_keeps_every_row_of_a_long_series(spark):
+    df = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("t"))
+    per_series = spark.createDataFrame([(1, "x"), (2, "y")], "k int, name string")
+    got = attach(df, per_series, ["k"], "t")
+    assert got.count() == 2000 and got.filter("name = 'x'").count() == 2000
+    assert attach(df.withColumn("k", F.lit(9)), per_series, ["k"], "t").filter("name is null").count() == 2000
+
+
+def test_neighbours_with_own_prefix_and_condition(spark, rows):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "c")], "k int, t int, name string")
+    got = neighbours(df, ["k"], ["t"], ["name"], found=F.col("name") != "b", prefix=("before", "after"))
+    assert rows(got, "t", "before_name", "after_name") == [(1, None, "c"), (2, "a", "c"), (3, "a", None)]
