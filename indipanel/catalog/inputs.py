@@ -128,13 +128,15 @@ def two_batches(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def to_pages(rows: DataFrame, code: Column, page: Column, order: str, columns: list[str],
-             surplus: Column | None = None) -> DataFrame:
+             surplus: Column | None = None, announce: bool = True) -> DataFrame:
     """(code, page, body) texts. ``page`` must bound the rows of a page."""
     paged = rows.select(code.alias("code"), page.cast("int").alias("page"), F.col(order).alias("_order"),
                         F.to_json(F.struct(*columns)).alias("_json"))
     bodies = paged.groupBy("code", "page").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_order", "_json"))), lambda x: x["_json"]), ",")
         .alias("_rows"), F.count("*").alias("_n"))
+    if not announce:
+        return bodies.select("code", "page", F.format_string('[{"page":%d},[%s]]', "page", "_rows").alias("body"))
     about = bodies.groupBy("code").agg(F.sum("_n").alias("_total"), F.max("page").alias("_pages"))
     total = F.col("_total") + (F.lit(0) if surplus is None else surplus)
     body = F.format_string('[{"page":%d,"pages":%d,"total":%d},[%s]]', "page", "_pages", total, "_rows")
@@ -164,7 +166,7 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
 
 def entity_pages(spark: SparkSession, sf: str) -> DataFrame:
     return to_pages(entities(spark, sf), F.lit("entities"), F.floor(F.col("c_custkey") / ENTITY_PAGE_ROWS) + 1,
-                    "c_custkey", ["id", "name", "region", "incomeLevel"])
+                    "c_custkey", ["id", "name", "region", "incomeLevel"], announce=False)
 
 
 # ------------------------------------------------- orders: yearly facts and classes

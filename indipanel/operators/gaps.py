@@ -16,10 +16,18 @@ def _order(panel: Panel) -> list[str]:
     return [panel.period] + ([panel.tie] if panel.tie else [])
 
 
-def published_neighbours(df: DataFrame, panel: Panel = Panel(), blocks=None) -> DataFrame:
-    """previous/next published value and period of every row."""
+def _published(panel: Panel, as_of: int | None) -> Column:
+    known = F.col(panel.value).isNotNull()
+    return known if as_of is None else known & (F.col(panel.period) <= as_of)
+
+
+def published_neighbours(df: DataFrame, panel: Panel = Panel(), blocks=None, as_of: int | None = None) -> DataFrame:
+    """previous/next published value and period of every row.
+
+    as_of  values of later periods are not known yet and serve no row
+    """
     return neighbours(df, panel.series, _order(panel), [panel.value, panel.period],
-                      found=F.col(panel.value).isNotNull(), blocks=blocks)
+                      found=_published(panel, as_of), blocks=blocks)
 
 
 def _between(panel: Panel) -> Column:
@@ -36,19 +44,19 @@ def interpolate(df: DataFrame, panel: Panel = Panel(), name: str = "interpolated
     return seen.withColumn(name, F.when(F.col(panel.value).isNull(), _between(panel)))
 
 
-def series_median(df: DataFrame, panel: Panel = Panel(), name: str = "median") -> DataFrame:
+def series_median(df: DataFrame, panel: Panel = Panel(), name: str = "median", as_of: int | None = None) -> DataFrame:
     """Exact median of the published values of each series, over all periods."""
-    return exact_median(df, panel.series, panel.value, name)
+    return exact_median(df.filter(_published(panel, as_of)), panel.series, panel.value, name)
 
 
-def median_fill(df: DataFrame, panel: Panel = Panel(), name: str = "median") -> DataFrame:
+def median_fill(df: DataFrame, panel: Panel = Panel(), name: str = "median", as_of: int | None = None) -> DataFrame:
     """Add the series median to the missing rows."""
-    medians = series_median(df, panel, name)
+    medians = series_median(df, panel, name, as_of)
     return attach(df.filter(F.col(panel.value).isNull()), medians, panel.series, panel.period)
 
 
 def treat_gaps(df: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules(),
-               keep: list[str] | None = None, blocks=None) -> DataFrame:
+               keep: list[str] | None = None, blocks=None, as_of: int | None = None) -> DataFrame:
     """Fact rows: published value, final value, method, imputed flag, kept columns.
 
     Published rows and indicators without a rule are a pure projection. Only the
@@ -57,6 +65,9 @@ def treat_gaps(df: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules
 
     A missing row with neighbours that do not span time (two rows of one period)
     stays NULL but is labelled interpolated.
+
+    as_of  by default later periods count too, also for gaps of earlier ones; with a
+           period here, only values up to it are used to fill gaps
     """
     code, value = F.col(panel.indicator), F.col(panel.value)
     keep = [] if keep is None else keep
@@ -79,18 +90,20 @@ def treat_gaps(df: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules
     line = F.when(code.isin(list(rules.rounded)), F.round(line)).otherwise(line)
     both = F.col(f"previous_{panel.value}").isNotNull() & F.col(f"next_{panel.value}").isNotNull()
     between = fact(
-        published_neighbours(df.filter(code.isin(list(rules.interpolate))), panel, blocks).filter(missing),
+        published_neighbours(df.filter(code.isin(list(rules.interpolate))), panel, blocks, as_of).filter(missing),
         line, F.when(both, R.METHOD_INTERPOLATED).otherwise(R.METHOD_MISSING))
 
     filled = fact(
-        median_fill(df.filter(code.isin(list(rules.median))), panel, "_median"),
+        median_fill(df.filter(code.isin(list(rules.median))), panel, "_median", as_of),
         F.col("_median"),
         F.when(F.col("_median").isNotNull(), R.METHOD_MEDIAN).otherwise(R.METHOD_MISSING))
 
     return as_is.unionByName(between).unionByName(filled)
 
 
-def build_fact(staging: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules(), blocks=None) -> DataFrame:
+def build_fact(staging: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules(), blocks=None,
+               as_of: int | None = None) -> DataFrame:
     """Fact table over the staged rows of real entities."""
     base = staging.filter((F.col("type_entite") == R.ENTITY_COUNTRY) & F.col(panel.entity).isNotNull())
-    return treat_gaps(base, panel, rules, keep=["obs_status", "decimal_places", "inserted_at"], blocks=blocks)
+    return treat_gaps(base, panel, rules, keep=["obs_status", "decimal_places", "inserted_at"],
+                      blocks=blocks, as_of=as_of)

@@ -12,7 +12,7 @@ from ..operators.staging import one_per_entity
 from ..schemas import RAW
 from ..session import scratch
 from ..sources.pages import accepted_pages, completeness, explode_rows, page_policy, parse_pages, read_entities
-from ..sources.tables import append_batch, replace_table, rollback_batch, scan, stored
+from ..sources.tables import append_batch, drop, replace_table, rollback_batch, scan, stored
 
 OBSERVATION_KEYS = ["country.value", "date", "indicator.id"]
 
@@ -25,15 +25,16 @@ class IncompleteIndicator(RuntimeError):
     """A page that page 1 announced is missing or unusable."""
 
 
-def accepted_rows(spark: SparkSession, pages: DataFrame) -> tuple[DataFrame, dict]:
+def accepted_rows(spark: SparkSession, pages: DataFrame, workspace: str | None = None) -> tuple[DataFrame, dict]:
     """Rows of the accepted indicators, with the indicators that gave a warning.
 
-    The parsed pages are written once: policy, completeness and rows all use them.
-    The verdicts, one row per indicator, are written too, so that Spark knows their
-    size when it joins them.
+    The parsed pages are written once below the workspace folder: policy,
+    completeness and rows all use them. The verdicts, one row per indicator, are
+    written too, so that Spark knows their size when it joins them.
     """
-    parsed = stored(parse_pages(pages), scratch(spark, "pages"))
-    verdicts = stored(page_policy(parsed), scratch(spark, "verdicts"))
+    workspace = workspace or scratch(spark, "pages")
+    parsed = stored(parse_pages(pages), f"{workspace}/parsed")
+    verdicts = stored(page_policy(parsed), f"{workspace}/verdicts")
 
     def codes(df: DataFrame) -> list[str]:
         return [r["code"] for r in df.select("code").orderBy("code").collect()]
@@ -61,18 +62,25 @@ def ingest(spark: SparkSession, rows: DataFrame, raw_path: str, stamp: datetime
 
     compare_to  'seen': against every stored hash, so a value that goes back to an
                 earlier one counts as known; 'latest': against current versions only.
+
+    The hashed batch is written to the shared scratch folder first: it is read by the
+    hash count and by the joins, and must not be fetched and parsed again for each.
     """
     stamp = stamp or datetime.now(timezone.utc)
     batch_id = stamp.strftime("%Y%m%d_%H%M%S_%f")
+    at = F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
     table = scan(spark, raw_path, RAW)
     seen = latest_hashes(table, OBSERVATION_KEYS) if compare_to == "latest" else recent_hashes(table, lookback)
-    batch = stored(with_row_hash(rows), scratch(spark, "batch"))
-    at = F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
-    new = stamp_batch(only_new(batch, seen), at, F.lit(batch_id))
+    workspace = scratch(spark, "batch")
     try:
+        batch = stored(with_row_hash(rows), workspace)
+        new = stamp_batch(only_new(batch, seen), at, F.lit(batch_id))
         append_batch(new.select(*RAW.fieldNames()), raw_path)
+        received = batch.count()
     except Exception:
         rollback_batch(spark, raw_path, batch_id)
         raise
-    written = scan(spark, raw_path, RAW).filter(F.col("batch_id") == batch_id).count()
-    return {"batch_id": batch_id, "received": batch.count(), "inserted": written}
+    finally:
+        drop(spark, workspace)
+    inserted = scan(spark, raw_path, RAW).filter(F.col("batch_id") == batch_id).count()
+    return {"batch_id": batch_id, "received": received, "inserted": inserted}

@@ -14,9 +14,11 @@ from ..operators.gaps import build_fact
 from ..operators.staging import stage
 from ..operators.star import dim_entity, dim_indicator, dim_period, star
 from ..rules import GapRules
-from ..schemas import DIM_ENTITY, DIM_INDICATOR, DIM_PERIOD, FACT, METADATA, RAW, STAGING, feature_mart
-from ..sources.pages import read_landing
-from ..sources.tables import exists, replace_table, scan
+from ..schemas import (
+    DIM_ENTITY, DIM_INDICATOR, DIM_PERIOD, ENTITY, FACT, METADATA, RAW, STAGING, feature_mart)
+from ..session import scratch
+from ..sources.pages import completeness, parse_pages, read_landing
+from ..sources.tables import drop, exists, replace_table, scan
 from .ingest_job import accepted_rows, ingest, replace_metadata
 from .model_jobs import predict
 
@@ -72,6 +74,11 @@ class Warehouse:
             self.table("fact"), self.table("dim_entity"), features=s.features, class_code=s.class_code,
             bounds=s.bounds, classes=s.classes, first_period=s.first_period))
 
+    def register_views(self, prefix: str = "") -> None:
+        """Every stored table as a temporary view, for SQL users."""
+        for name in self.schemas:
+            self.table(name).createOrReplaceTempView(prefix + name)
+
     def star(self) -> DataFrame:
         return star(*[self.table(t) for t in ("fact", "dim_entity", "dim_period", "dim_indicator")])
 
@@ -84,9 +91,16 @@ class Warehouse:
 
         As in a scheduled run, a model is used when one is stored but never trained.
         """
-        rows, notes = accepted_rows(self.spark, read_landing(self.spark, observations))
-        replace_metadata(self.spark, read_landing(self.spark, entities), self.path("metadata"))
-        counts = ingest(self.spark, rows, self.path("raw"), stamp, lookback)
+        spark, workspace = self.spark, scratch(self.spark, "run")
+        entity_pages = read_landing(spark, entities)
+        try:
+            rows, notes = accepted_rows(spark, read_landing(spark, observations), workspace)
+            replace_metadata(spark, entity_pages, self.path("metadata"))
+            counts = ingest(spark, rows, self.path("raw"), stamp, lookback)
+        finally:
+            drop(spark, workspace)
+        short = completeness(parse_pages(entity_pages, ENTITY)).filter("not complete")
+        notes["entities_complete"] = short.isEmpty()
         self.build()
         failed = self.check().filter("status = 'fail'").count()
         predicted = 0

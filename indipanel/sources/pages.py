@@ -23,7 +23,7 @@ PAGE_FILE = T.StructType([
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """(code, page, body) of every landed page file."""
-    files = spark.read.schema(PAGE_FILE).option("wholetext", True).text(path)
+    files = spark.read.schema(PAGE_FILE).text(path, wholetext=True)
     return files.select("code", "page", "body")
 
 

@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a stored table; nothing happens when there is none."""
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
     """A stored table with its declared schema; empty when nothing is stored yet."""
     if not exists(spark, path):

@@ -69,3 +69,12 @@ def test_build_fact_leaves_out_aggregates_and_blank_codes(spark):
     assert [r["countryiso3code"] for r in got.collect()] == ["X"]
     assert got.columns == ["countryiso3code", "annee", "indicator_code", "valeur_originale", "valeur",
                            "methode_traitement", "est_imputee", "obs_status", "decimal_places", "inserted_at"]
+
+
+def test_as_of_hides_later_values(spark):
+    data = [("X", "life", 2000, 1.0, "a"), ("X", "life", 2001, None, "b"), ("X", "life", 2002, 3.0, "c"),
+            ("X", "gdp", 2000, 1.0, "a"), ("X", "gdp", 2001, None, "b"), ("X", "gdp", 2002, 9.0, "c")]
+    df = treat_gaps(spark.createDataFrame(data, SCHEMA), PANEL, RULES, as_of=2001)
+    got = {r["i"]: (r["valeur"], r["methode_traitement"]) for r in df.filter("t = 2001").collect()}
+    assert got == {"life": (None, "non_disponible"), "gdp": (1.0, "mediane_pays")}
+    assert df.filter("t = 2002 and methode_traitement = 'originale'").count() == 2
