@@ -9,7 +9,8 @@ from .. import rules as R
 from ..functions import safe_divide
 from ..rules import GapRules, Panel
 from .ranks import exact_median
-from .series import attach, neighbours
+from .series import neighbours
+from .skew import join_per_group
 
 
 def _order(panel: Panel) -> list[str]:
@@ -52,16 +53,16 @@ def series_median(df: DataFrame, panel: Panel = Panel(), name: str = "median", a
 def median_fill(df: DataFrame, panel: Panel = Panel(), name: str = "median", as_of: int | None = None) -> DataFrame:
     """Add the series median to the missing rows."""
     medians = series_median(df, panel, name, as_of)
-    return attach(df.filter(F.col(panel.value).isNull()), medians, panel.series, panel.period)
+    return join_per_group(df.filter(F.col(panel.value).isNull()), medians, panel.series)
 
 
 def treat_gaps(df: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules(),
                keep: list[str] | None = None, blocks=None, as_of: int | None = None) -> DataFrame:
     """Fact rows: published value, final value, method, imputed flag, kept columns.
 
-    Published rows and indicators without a rule are a pure projection. Only the
-    series of the rule's indicators are shuffled: the interpolated ones into blocks
-    of their order, the median ones as value counts.
+    Published rows and indicators without a rule are a pure projection; only the
+    series of the rules' indicators are shuffled. ``df`` should be a stored table,
+    partitioned by indicator: every rule then reads its own folders.
 
     A missing row with neighbours that do not span time (two rows of one period)
     stays NULL but is labelled interpolated.

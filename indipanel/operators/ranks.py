@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import HOT_ROWS, split_hot
+
 # Histogram buckets per doubling of a value.
 _STEPS = 65_536
 
@@ -41,16 +43,24 @@ def _holds(rank: str) -> Column:
     return (F.col("_below") <= F.col(rank)) & (F.col(rank) < F.col("_below") + F.col("_n"))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median",
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Interpolated median of the non-null values: one row per key (keys not NULL).
 
-    The histogram of a group tells the bucket of its middle ranks; only the values of
-    that bucket are put in order.
+    Groups of up to ``hot_rows`` values are aggregated as they are; the values of
+    larger ones never meet in one task.
     """
-    v = F.col(value)
+    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"))
+    hot, rest = split_hot(values, keys, hot_rows)
+    plain = rest.groupBy(*keys).agg(F.percentile("_value", F.lit(0.5)).alias(name))
+    return plain.unionByName(_median_by_histogram(hot, keys, name))
+
+
+def _median_by_histogram(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The histogram of a group tells the bucket of its middle ranks; only the
+    values of that bucket are put in order."""
     values = (
-        df.filter(v.isNotNull())
-        .groupBy(*keys, v.cast("double").alias("_value")).agg(F.count("*").alias("_n"))
+        df.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
         .withColumn("_bucket", _bucket(F.col("_value")))
     )
     total = F.sum("_n").over(Window.partitionBy(*keys))

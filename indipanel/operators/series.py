@@ -1,22 +1,14 @@
-"""Nearest published rows before and after each row of a series.
-
-A plain window over (entity, indicator) sends a whole series to one task, so a
-single hot series would decide the run time. Here a series is cut into blocks of
-its order. Windows run inside blocks, every block is reduced to its first and
-last published row, and only these edges are ordered along the series; a row
-whose neighbour lies outside its block takes the edge.
-"""
+"""Nearest published rows before and after each row of a series."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_PERIODS = 256
+from .skew import HOT_ROWS, split_hot
 
-
-def _before(w):
-    return w.rowsBetween(Window.unboundedPreceding, -1)
+# Periods of a hot series that are ordered together.
+BLOCK_PERIODS = 4096
 
 
 def neighbours(
@@ -27,43 +19,69 @@ def neighbours(
     found: Column | None = None,
     blocks: list[Column] | None = None,
     prefix: tuple[str, str] = ("previous", "next"),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``<previous>_<c>`` and ``<next>_<c>`` for each carried column.
 
-    keys    series key; must not be NULL
+    keys    series key, not NULL
     order   order columns, the first one a number; they fix ties as well
     found   which rows may serve as neighbours (default: the first carried column is set)
-    blocks  monotone block expressions from coarse to fine; the default cuts on the
-            first order column, so a block has at most BLOCK_PERIODS rows when a
-            series has one row per period. For series with many rows per period,
-            pass finer levels, e.g. [floor(period / n), period, substring(tie, 1, 2)].
+    blocks  how hot series are cut, see _across_blocks
 
-    The row after is looked up as the row before in descending order: a frame that
-    starts behind the current row is re-evaluated per row and grows quadratic.
+    A series of up to ``hot_rows`` rows is ordered in one task: one shuffle of the
+    rows for both directions. Longer series are cut into blocks.
     """
     found = F.col(carry[0]).isNotNull() if found is None else found
+    columns = [*order, *[c for c in carry if c not in order]]
+    row = F.when(found, F.struct(*[F.col(c) for c in columns]))
+    hot, rest = split_hot(df, keys, hot_rows)
     blocks = [F.floor(F.col(order[0]) / F.lit(BLOCK_PERIODS))] if blocks is None else blocks
-    levels = [f"_block{i}" for i in range(len(blocks))]
+    seen = _inside(rest, keys, order, row).unionByName(_across_blocks(hot, keys, order, row, blocks))
+    return seen.select(
+        *df.columns,
+        *[F.col("_prev").getField(c).alias(f"{prefix[0]}_{c}") for c in carry],
+        *[F.col("_next").getField(c).alias(f"{prefix[1]}_{c}") for c in carry],
+    )
 
-    cut = df.withColumns(dict(zip(levels, blocks)))
-    row = F.when(found, F.struct(*[F.col(c) for c in [*order, *[c for c in carry if c not in order]]]))
 
-    inside = Window.partitionBy(*keys, *levels)
-    rows = cut.withColumn("_row", row).withColumns({
-        "_prev": F.last("_row", ignorenulls=True).over(_before(inside.orderBy(*[F.asc(c) for c in order]))),
-        "_next": F.last("_row", ignorenulls=True).over(_before(inside.orderBy(*[F.desc(c) for c in order]))),
+def _before(w):
+    return w.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _inside(df: DataFrame, keys: list[str], order: list[str], row: Column) -> DataFrame:
+    """_prev and _next within each group of the keys.
+
+    The row after is looked up as the row before in descending order: a frame that
+    starts behind the current row is re-evaluated per row and grows quadratic.
+    """
+    group = Window.partitionBy(*keys)
+    return df.withColumn("_row", row).withColumns({
+        "_prev": F.last("_row", ignorenulls=True).over(_before(group.orderBy(*[F.asc(c) for c in order]))),
+        "_next": F.last("_row", ignorenulls=True).over(_before(group.orderBy(*[F.desc(c) for c in order]))),
     }).drop("_row")
 
-    edges = cut.groupBy(*keys, *levels).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
-    outside = _edges_along(edges, keys, levels)
 
-    joined = rows.join(outside, [*keys, *levels], "left")
-    prev, nxt = F.coalesce("_prev", "_edge_prev"), F.coalesce("_next", "_edge_next")
+def _across_blocks(df: DataFrame, keys: list[str], order: list[str], row: Column, blocks: list[Column]) -> DataFrame:
+    """The same for series that no task should hold.
+
+    The windows run inside blocks of the order. Every block is reduced to its first
+    and last published row, and only these edges are ordered along the series; a row
+    whose neighbour lies outside its block takes the edge.
+
+    blocks  monotone block expressions from coarse to fine. The default cuts on the
+            first order column, so a block has at most BLOCK_PERIODS rows when a
+            series has one row per period. For series with many rows per period,
+            pass finer levels, e.g. [floor(period / n), period, substring(tie, 1, 2)].
+    """
+    levels = [f"_block{i}" for i in range(len(blocks))]
+    cut = df.withColumns(dict(zip(levels, blocks)))
+    path = [*keys, *levels]
+    edges = cut.groupBy(*path).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
+    joined = _inside(cut, path, order, row).join(_edges_along(edges, keys, levels), path, "left")
     return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[prev.getField(c).alias(f"{prefix[0]}_{c}") for c in carry],
-        *[nxt.getField(c).alias(f"{prefix[1]}_{c}") for c in carry],
-    )
+        *df.columns,
+        F.coalesce("_prev", "_edge_prev").alias("_prev"),
+        F.coalesce("_next", "_edge_next").alias("_next"))
 
 
 def _edges_along(edges: DataFrame, keys: list[str], levels: list[str]) -> DataFrame:
@@ -85,15 +103,3 @@ def _edges_along(edges: DataFrame, keys: list[str], levels: list[str]) -> DataFr
         F.coalesce("_edge_prev", "_up_prev").alias("_edge_prev"),
         F.coalesce("_edge_next", "_up_next").alias("_edge_next"),
     )
-
-
-def attach(df: DataFrame, per_series: DataFrame, keys: list[str], period: str) -> DataFrame:
-    """Left join of one row per series to the rows of the series, block by block.
-
-    The per-series row is first joined to the series' blocks, so the join with the
-    rows is on (series, block) and a hot series spreads over as many tasks as it has
-    blocks.
-    """
-    cut = df.withColumn("_block", F.floor(F.col(period) / F.lit(BLOCK_PERIODS)))
-    blocks = cut.select(*keys, "_block").distinct().join(per_series, keys)
-    return cut.join(blocks, [*keys, "_block"], "left").drop("_block")

@@ -49,11 +49,14 @@ def test_neighbours_shuffle_the_rows_once(spark):
         text = plan(gaps.published_neighbours(df, Panel("e", "t", "i", "v", None)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    rows_side, edges_side = text.split("SortAggregate", 1)
-    assert "payload" in rows_side and "payload" not in edges_side
-    keys = exchanges(rows_side)
-    assert sum("_block0" in k for k in keys) == 2         # the rows, and their edges for the join
-    assert "partial_max" in edges_side                    # edges are combined before their shuffle
+    # ordinary series: by series; hot series: by series and block; their edges: by block, twice
+    keys = [re.sub(r"#\w+", "", e) for e in exchanges(text)]
+    assert sum(k.startswith("e, i, _block0") for k in keys) == 3
+    ordinary = text.split("Union")[1].split("LeftSemi")[0]
+    assert len(exchanges(ordinary.split("LeftAnti")[0])) == 1
+    assert "partial_max" in text and "partial_count" in text            # edges and counts are combined first
+    hints = re.findall(r"BroadcastHashJoin .* (Left\w+),", text)
+    assert sorted(hints) == ["LeftAnti", "LeftSemi", "LeftSemi"]
 
 
 @pytest.fixture(scope="module")

@@ -20,11 +20,12 @@ def values(kind):
     }[kind]()
 
 
+@pytest.mark.parametrize("hot_rows", [0, 10 ** 6], ids=["by histogram", "plain"])
 @pytest.mark.parametrize("kind", ["mixed signs", "one octave", "heavy tail", "copies", "around zero", "powers of two", "single"])
-def test_exact_median(spark, kind):
+def test_exact_median(spark, kind, hot_rows):
     data = values(kind)
     df = spark.createDataFrame([("k", v) for v in data] + [("k", None), ("empty", None)], "k string, v double")
-    got = [tuple(r) for r in exact_median(df, ["k"], "v").collect()]
+    got = [tuple(r) for r in exact_median(df, ["k"], "v", hot_rows=hot_rows).collect()]
     ordered = sorted(data)
     n = len(ordered)
     assert got == [("k", ordered[(n - 1) // 2] * 0.5 + ordered[n // 2] * 0.5)]
@@ -35,7 +36,7 @@ def test_exact_median_of_a_hot_key_beside_small_ones(spark):
     df = spark.range(20000).select(
         F.when(F.col("id") < 19000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
         (F.col("id") * 7919 % 10007 / 100).alias("v"))
-    got = {r["k"]: r["median"] for r in exact_median(df, ["k"], "v").collect()}
+    got = {r["k"]: r["median"] for r in exact_median(df, ["k"], "v", hot_rows=1000).collect()}
     want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.percentile("v", 0.5).alias("m")).collect()}
     assert got == want
 

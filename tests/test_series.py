@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from indipanel.operators import reports
 from indipanel.operators.gaps import published_neighbours
-from indipanel.operators.series import attach, neighbours
+from indipanel.operators.series import neighbours
+from indipanel.operators.skew import hot_keys, join_per_group, split_hot
 from indipanel.rules import Panel
 
 PANEL = Panel("e", "t", "i", "v", "h")
@@ -31,14 +32,19 @@ def random_panel(seed, n=400):
             for n_ in range(n)]
 
 
-@pytest.mark.parametrize("levels", [
-    lambda: None,
-    lambda: [F.floor(F.col("t") / 7)],
-    lambda: [F.floor(F.col("t") / 7), F.col("t"), F.substring("h", 1, 2)],
-], ids=["default", "narrow", "finer than a period"])
-def test_neighbours_equal_brute_force_for_any_block_size(spark, levels):
+LEVELS = {
+    "default": lambda: None,
+    "narrow": lambda: [F.floor(F.col("t") / 7)],
+    "finer than a period": lambda: [F.floor(F.col("t") / 7), F.col("t"), F.substring("h", 1, 2)],
+}
+
+
+@pytest.mark.parametrize("hot_rows", [0, 60, 10 ** 6], ids=["all hot", "some hot", "none hot"])
+@pytest.mark.parametrize("levels", LEVELS)
+def test_neighbours_equal_brute_force_however_the_series_is_cut(spark, levels, hot_rows):
     data = random_panel(7)
-    got = published_neighbours(spark.createDataFrame(data, SCHEMA), PANEL, levels())
+    got = neighbours(spark.createDataFrame(data, SCHEMA), ["e", "i"], ["t", "h"], ["v", "t"],
+                     blocks=LEVELS[levels](), hot_rows=hot_rows)
     found = {tuple(r)[:5]: tuple(r)[5:] for r in got.collect()}
     assert found == brute(data)
 
@@ -60,12 +66,20 @@ def test_evolution_counts_missing_rows_as_rows(spark, rows):
         (301, 300, 8.0, -8.0, -1.0), (302, 301, 0.0, 1.0, None)]
 
 
-def test_attach_keeps_every_row_of_a_long_series(spark):
-    df = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("t"))
-    per_series = spark.createDataFrame([(1, "x"), (2, "y")], "k int, name string")
-    got = attach(df, per_series, ["k"], "t")
-    assert got.count() == 2000 and got.filter("name = 'x'").count() == 2000
-    assert attach(df.withColumn("k", F.lit(9)), per_series, ["k"], "t").filter("name is null").count() == 2000
+def test_hot_keys_and_split(spark, rows):
+    df = spark.createDataFrame([("a", n) for n in range(5)] + [("b", n) for n in range(2)] + [("c", 0)], "k string, n int")
+    assert rows(hot_keys(df, ["k"], 2)) == [("a",)]
+    hot, rest = split_hot(df, ["k"], 1)
+    assert rows(hot, "k") == [("a",)] * 5 + [("b",)] * 2 and rows(rest) == [("c", 0)]
+
+
+@pytest.mark.parametrize("hot_rows", [0, 100, 10 ** 6])
+def test_join_per_group_keeps_every_row(spark, hot_rows):
+    df = spark.range(2000).select(F.when(F.col("id") < 1900, 1).otherwise(F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    per_group = spark.createDataFrame([(1, "x"), (2, "y")], "k int, name string")
+    got = {r["name"]: r["count"] for r in join_per_group(df, per_group, ["k"], hot_rows).groupBy("name").count().collect()}
+    want = {r["name"]: r["count"] for r in df.join(per_group, "k", "left").groupBy("name").count().collect()}
+    assert got == want
 
 
 def test_neighbours_with_own_prefix_and_condition(spark, rows):
