@@ -123,6 +123,11 @@ class GapRules:
     median: tuple[str, ...] = ("NY.GDP.MKTP.CD", "NY.GDP.PCAP.CD")
     rounded: tuple[str, ...] = ("SP.POP.TOTL",)
 
+    def __post_init__(self):
+        both = set(self.interpolate) & set(self.median)
+        if both:
+            raise ValueError(f"an indicator has one rule, not two: {sorted(both)}")
+
 
 def codes_by_label(labels: dict[str, str], names) -> dict[str, str]:
     """Column name -> indicator code, for the given label names."""

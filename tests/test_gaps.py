@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from indipanel.operators.gaps import build_fact, interpolate, series_median, treat_gaps
@@ -78,3 +79,8 @@ def test_as_of_hides_later_values(spark):
     got = {r["i"]: (r["valeur"], r["methode_traitement"]) for r in df.filter("t = 2001").collect()}
     assert got == {"life": (None, "non_disponible"), "gdp": (1.0, "mediane_pays")}
     assert df.filter("t = 2002 and methode_traitement = 'originale'").count() == 2
+
+
+def test_an_indicator_has_one_rule():
+    with pytest.raises(ValueError, match="pop"):
+        GapRules(interpolate=("pop",), median=("pop",))
