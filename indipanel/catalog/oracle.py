@@ -246,7 +246,7 @@ WHERE ts >= TIMESTAMP '{I.SECOND_FROM}'
 
 ORACLE["stamp_batch"] = f"""
 SELECT event_id, strftime({_STAMPED}, '%Y%m%d_%H%M%S_%f') AS batch_id,
-       strftime({_STAMPED}, {_MICROS}) AS inserted_at
+       epoch_us({_STAMPED}) AS inserted_at
 FROM events"""
 
 ORACLE["ingest_two_batches"] = _INGESTED
@@ -448,7 +448,7 @@ WITH {_MART} SELECT count(*) AS n_rows, count(*) AS n_equal, count(*) AS n_class
 ORACLE["train_job"] = f"""
 WITH {_MART}
 SELECT countryiso3code, country_name, region, annee, income_level, 'Test' AS type_prediction,
-       true AS class_known, true AS outcome_right, '2024-02-01 00:00:00.000000' AS date_prediction
+       true AS class_known, true AS outcome_right, epoch_us(TIMESTAMP '2024-02-01') AS date_prediction
 FROM mart WHERE annee = 1999 AND income_level IS NOT NULL"""
 
 ORACLE["prediction_ledger"] = f"""

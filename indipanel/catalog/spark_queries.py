@@ -131,13 +131,14 @@ def recent_hashes(spark, sf):
 def ingest_new_rows(spark, sf):
     """Rows of the second delivery whose hash the first has not; copies stay."""
     first, second = I.two_batches(I.copied_events(spark, sf))
-    return ingest.only_new(second, ingest.recent_hashes(first)).select("event_id", "row_hash")
+    return ingest.only_new(second, first.select("row_hash")).select("event_id", "row_hash")
 
 
 @query
 def stamp_batch(spark, sf):
     rows = I.table(spark, sf, "events").select("event_id")
-    return ingest.stamp_batch(rows, F.lit(I.STAMP).cast("timestamp")).select("event_id", "batch_id", _text("inserted_at"))
+    return ingest.stamp_batch(rows, F.lit(I.STAMP + "Z").cast("timestamp")).select(
+        "event_id", "batch_id", F.unix_micros("inserted_at").alias("inserted_at"))
 
 
 def _stamp(n: int) -> datetime:
@@ -449,7 +450,7 @@ def train_job(spark, sf):
         "countryiso3code", "country_name", "region", "annee", "income_level", "type_prediction",
         F.col("income_level_predit").isin(*I.CLASSES).alias("class_known"),
         (F.col("prediction_correcte") == outcome("income_level", "income_level_predit")).alias("outcome_right"),
-        _text("date_prediction"))
+        F.unix_micros("date_prediction").alias("date_prediction"))
 
 
 @query

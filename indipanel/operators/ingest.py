@@ -11,6 +11,9 @@ from .ranks import newest_hashes
 # Copies of one hash in a batch from which on its rows are kept out of the shuffle.
 HOT_COPIES = 1_000_000
 
+# Rows of a batch up to which its hashes are broadcast, about 100 bytes each.
+SMALL_BATCH = 1_000_000
+
 
 def with_row_hash(rows: DataFrame, columns: list[str] | None = None, name: str = "row_hash") -> DataFrame:
     return rows.withColumn(name, content_hash(rows.schema, columns))
@@ -30,8 +33,8 @@ def latest_hashes(table: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def only_new(batch: DataFrame, seen: DataFrame, hash_col: str = "row_hash",
-             hot_copies: int = HOT_COPIES) -> DataFrame:
-    """Rows of the batch whose hash is not known yet.
+             hot_copies: int = HOT_COPIES, batch_rows: int | None = None) -> DataFrame:
+    """Rows of the batch whose hash is not known yet. ``seen`` need not be distinct.
 
     The known set does not grow inside a batch: copies within it all stay, and one
     hash may make up much of a batch or of the table. So both sides are first
@@ -39,7 +42,13 @@ def only_new(batch: DataFrame, seen: DataFrame, hash_col: str = "row_hash",
     ``hot_copies`` copies, at most (batch rows / hot_copies) of them, are decided by
     a broadcast join and never shuffled as rows; the rest is a shuffle join in which
     no hash has more copies than that.
+
+    batch_rows  row count of the batch, where the caller knows it. A small batch is
+                broadcast to the stored hashes, so that of a long history only the
+                hashes of the batch are shuffled.
     """
+    if batch_rows is not None and batch_rows <= SMALL_BATCH:
+        seen = seen.join(F.broadcast(batch.select(hash_col).distinct()), hash_col, "left_semi")
     tagged = batch.select(hash_col, F.lit(1).alias("_copy")).unionByName(
         seen.select(hash_col, F.lit(0).alias("_copy")))
     tally = tagged.groupBy(hash_col).agg(
@@ -53,7 +62,8 @@ def only_new(batch: DataFrame, seen: DataFrame, hash_col: str = "row_hash",
 
 
 def batch_id_of(stamp: Column) -> Column:
-    return F.date_format(stamp, "yyyyMMdd_HHmmss_SSSSSS")
+    """The load time in UTC as text, whatever the session time zone."""
+    return F.date_format(F.to_utc_timestamp(stamp, F.current_timezone()), "yyyyMMdd_HHmmss_SSSSSS")
 
 
 def stamp_batch(rows: DataFrame, stamp: Column, batch_id: Column | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.ingest import latest_hashes, only_new, recent_hashes, stamp_batch, with_row_hash
 from ..operators.staging import one_per_entity
 from ..schemas import RAW
-from ..session import scratch
+from ..session import instant, scratch, utc
 from ..sources.pages import accepted_pages, completeness, explode_rows, page_policy, parse_pages, read_entities
 from ..sources.tables import append_batch, drop, replace_table, rollback_batch, scan, stored
 
@@ -66,17 +66,19 @@ def ingest(spark: SparkSession, rows: DataFrame, raw_path: str, stamp: datetime
     The hashed batch is written to the shared scratch folder first: it is read by the
     hash count and by the joins, and must not be fetched and parsed again for each.
     """
-    stamp = stamp or datetime.now(timezone.utc)
+    stamp = utc(stamp)
     batch_id = stamp.strftime("%Y%m%d_%H%M%S_%f")
-    at = F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
     table = scan(spark, raw_path, RAW)
-    seen = latest_hashes(table, OBSERVATION_KEYS) if compare_to == "latest" else recent_hashes(table, lookback)
+    if compare_to == "latest":
+        seen = latest_hashes(table, OBSERVATION_KEYS)
+    else:
+        seen = table.select("row_hash") if lookback is None else recent_hashes(table, lookback)
     workspace = scratch(spark, "batch")
     try:
         batch = stored(with_row_hash(rows), workspace)
-        new = stamp_batch(only_new(batch, seen), at, F.lit(batch_id))
-        append_batch(new.select(*RAW.fieldNames()), raw_path)
         received = batch.count()
+        new = stamp_batch(only_new(batch, seen, batch_rows=received), instant(stamp), F.lit(batch_id))
+        append_batch(new.select(*RAW.fieldNames()), raw_path)
     except Exception:
         rollback_batch(spark, raw_path, batch_id)
         raise

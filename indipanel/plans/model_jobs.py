@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules as R
@@ -13,16 +13,12 @@ from ..operators.forest import (
     Forest, fit_forest, labelled_between, load_model, save_model, score, to_score)
 from ..operators.ledger import ledger_rows
 from ..schemas import LEDGER, feature_mart
+from ..session import instant, utc
 from ..sources.tables import replace_partitions, replace_table, scan
 
 _PARTITION = ["type_prediction"]
 
 
-def _at(stamp: datetime | None) -> Column:
-    stamp = stamp or datetime.now(timezone.utc)
-    return F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
-
-
 def train(spark: SparkSession, mart_path: str, ledger_path: str, model_path: str,
           features=R.FEATURE_NAMES, train_years=R.TRAIN_YEARS, test_year=R.TEST_YEAR,
           final_years=R.FINAL_YEARS, forest: Forest = Forest(), stamp: datetime | None = None,
@@ -38,7 +34,7 @@ def train(spark: SparkSession, mart_path: str, ledger_path: str, model_path: str
     model = fit_forest(labelled_between(mart, *train_years), features, forest=forest)
     if evaluation_path:
         save_model(model, evaluation_path)
-    tested = ledger_rows(score(model, labelled_between(mart, test_year, test_year)), R.RUN_TEST, _at(stamp))
+    tested = ledger_rows(score(model, labelled_between(mart, test_year, test_year)), R.RUN_TEST, instant(utc(stamp)))
     if reset:
         replace_table(tested, ledger_path, _PARTITION)
     else:
@@ -69,5 +65,5 @@ def predict(spark: SparkSession, mart_path: str, ledger_path: str, model_path: s
     if rows.isEmpty():
         return 0
     scored = score(load_model(model_path), rows)
-    replace_partitions(ledger_rows(scored, R.RUN_PRODUCTION, _at(stamp)), ledger_path, _PARTITION)
+    replace_partitions(ledger_rows(scored, R.RUN_PRODUCTION, instant(utc(stamp))), ledger_path, _PARTITION)
     return scan(spark, ledger_path, LEDGER).filter(F.col("type_prediction") == R.RUN_PRODUCTION).count()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "20g",
@@ -38,3 +40,16 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="indipanel-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def utc(stamp: datetime | None = None) -> datetime:
+    """The given time, or now, in UTC; a time without zone is taken as UTC."""
+    if stamp is None:
+        return datetime.now(timezone.utc)
+    return stamp.replace(tzinfo=timezone.utc) if stamp.tzinfo is None else stamp.astimezone(timezone.utc)
+
+
+def instant(stamp: datetime) -> Column:
+    """A point in time as a literal, independent of the session time zone."""
+    since = stamp - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return F.timestamp_micros(F.lit(since // timedelta(microseconds=1)))

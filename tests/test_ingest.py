@@ -51,12 +51,13 @@ def test_lookback_forgets_old_hashes(spark, tmp_path):
     assert ingest(spark, batch(spark, observation(1.0)), path, stamp(3), lookback=1)["inserted"] == 1
 
 
+@pytest.mark.parametrize("batch_rows", [None, 11])
 @pytest.mark.parametrize("hot", [1, 2, 3, 10 ** 6])
-def test_only_new_is_the_same_for_every_hot_limit(spark, rows, hot):
+def test_only_new_is_the_same_for_every_hot_limit(spark, rows, hot, batch_rows):
     new = spark.createDataFrame([(h, n) for h, k in (("a", 5), ("b", 2), ("c", 1), ("d", 3)) for n in range(k)],
                                 "row_hash string, n int")
     seen = spark.createDataFrame([("b",), ("b",), ("d",), ("z",)], "row_hash string")
-    got = rows(G.only_new(new, seen, hot_copies=hot))
+    got = rows(G.only_new(new, seen, hot_copies=hot, batch_rows=batch_rows))
     assert got == [("a", n) for n in range(5)] + [("c", 0)]
 
 
@@ -103,3 +104,22 @@ def test_replace_partitions_keeps_the_others(spark, tmp_path, rows):
 
 def test_scan_of_nothing_is_empty(spark, tmp_path):
     assert tables.scan(spark, str(tmp_path / "no"), RAW).isEmpty()
+
+
+def test_an_empty_first_batch(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    assert ingest(spark, batch(spark), path, stamp(1))["inserted"] == 0
+    assert ingest(spark, batch(spark, observation(1.0)), path, stamp(2))["inserted"] == 1
+
+
+def test_load_times_are_utc_in_any_session_zone(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        ingest(spark, batch(spark, observation(1.0)), path, stamp(1))
+        micros = tables.scan(spark, path, RAW).select(F.unix_micros("inserted_at")).first()[0]
+        name = spark.range(1).select(G.batch_id_of(F.timestamp_micros(F.lit(micros)))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert micros == int((stamp(1) - datetime(1970, 1, 1)).total_seconds()) * 10 ** 6 + 123
+    assert name == "20240101_063000_000123"
