@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from .. import rules
 
-_EDGE_SPACE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# Unicode white space
+_WHITE_SPACE = "".join(map(chr, [
+    *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _col(c: Column | str) -> Column:
@@ -17,7 +19,7 @@ def _col(c: Column | str) -> Column:
 
 def blank_to_null(c: Column | str) -> Column:
     """Text without surrounding white space (tabs too); empty becomes NULL."""
-    return F.nullif(F.regexp_replace(_col(c), _EDGE_SPACE, ""), F.lit(""))
+    return F.nullif(F.trim(_col(c), F.lit(_WHITE_SPACE)), F.lit(""))
 
 
 def safe_int(c: Column | str) -> Column:

@@ -53,7 +53,7 @@ def series_median(df: DataFrame, panel: Panel = Panel(), name: str = "median", a
 def median_fill(df: DataFrame, panel: Panel = Panel(), name: str = "median", as_of: int | None = None) -> DataFrame:
     """Add the series median to the missing rows."""
     medians = series_median(df, panel, name, as_of)
-    return join_per_group(df.filter(F.col(panel.value).isNull()), medians, panel.series)
+    return join_per_group(df.filter(F.col(panel.value).isNull()), medians, panel.series, _order(panel))
 
 
 def treat_gaps(df: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules(),

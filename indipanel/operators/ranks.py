@@ -47,11 +47,11 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Interpolated median of the non-null values: one row per key (keys not NULL).
 
-    Groups of up to ``hot_rows`` values are aggregated as they are; the values of
-    larger ones never meet in one task.
+    Groups of up to ``hot_rows`` different values are aggregated as they are; the
+    values of larger ones never meet in one task.
     """
     values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"))
-    hot, rest = split_hot(values, keys, hot_rows)
+    hot, rest = split_hot(values, keys, ["_value"], hot_rows)
     plain = rest.groupBy(*keys).agg(F.percentile("_value", F.lit(0.5)).alias(name))
     return plain.unionByName(_median_by_histogram(hot, keys, name))
 

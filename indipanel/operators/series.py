@@ -34,7 +34,7 @@ def neighbours(
     found = F.col(carry[0]).isNotNull() if found is None else found
     columns = [*order, *[c for c in carry if c not in order]]
     row = F.when(found, F.struct(*[F.col(c) for c in columns]))
-    hot, rest = split_hot(df, keys, hot_rows)
+    hot, rest = split_hot(df, keys, order, hot_rows)
     blocks = [F.floor(F.col(order[0]) / F.lit(BLOCK_PERIODS))] if blocks is None else blocks
     seen = _inside(rest, keys, order, row).unionByName(_across_blocks(hot, keys, order, row, blocks))
     return seen.select(

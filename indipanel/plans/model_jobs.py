@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules as R
-from ..operators import evaluate
+from ..operators import evaluate, profile
 from ..operators.forest import (
     Forest, fit_forest, labelled_between, load_model, save_model, score, to_score)
 from ..operators.ledger import ledger_rows
@@ -19,6 +19,22 @@ from ..sources.tables import replace_partitions, replace_table, scan
 _PARTITION = ["type_prediction"]
 
 
+def dataset(spark: SparkSession, mart_path: str, features=R.FEATURE_NAMES) -> DataFrame:
+    """The feature mart in reading order, by entity and year."""
+    return scan(spark, mart_path, feature_mart(list(features))).orderBy("countryiso3code", "annee")
+
+
+def describe(spark: SparkSession, mart_path: str, features=R.FEATURE_NAMES) -> dict[str, DataFrame]:
+    """What a look at the mart shows: size, columns, class counts, missing values."""
+    mart = scan(spark, mart_path, feature_mart(list(features)))
+    return {
+        "profile": profile.dataset_profile(mart, "annee"),
+        "columns": profile.column_list(mart),
+        "classes": profile.value_counts(mart, "income_level"),
+        "missing": profile.missing_profile(mart),
+    }
+
+
 def train(spark: SparkSession, mart_path: str, ledger_path: str, model_path: str,
           features=R.FEATURE_NAMES, train_years=R.TRAIN_YEARS, test_year=R.TEST_YEAR,
           final_years=R.FINAL_YEARS, forest: Forest = Forest(), stamp: datetime | None = None,

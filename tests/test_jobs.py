@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from indipanel import rules as R
+from indipanel.__main__ import main
 from indipanel.operators import forest
 from indipanel.operators.forest import Forest
 from indipanel.plans import model_jobs
@@ -98,6 +99,16 @@ def test_training_and_scoring_jobs(spark, tmp_path):
     assert rows_per_run() == {"Test": 32}
 
 
+def test_command_line(spark, tmp_path, landed, capsys):
+    base = str(tmp_path / "cli")
+    main(["run", base, *landed], spark)
+    main(["train", base, "--trees", "5", "--depth", "4"], spark)
+    main(["predict", base], spark)
+    main(["check", base], spark)
+    out = capsys.readouterr().out
+    assert "inserted: 960" in out and "accuracy" in out and "predicted: 6" in out and "relationships" in out
+
+
 def test_stream_equals_batch(spark, tmp_path, rows):
     landing = tmp_path / "landing"
     land(landing, "A", 1, [obs("A", "X", "XXX", 2000 + i, float(i)) for i in range(5)], pages=2, total=8)
@@ -161,5 +172,10 @@ def test_warehouse_end_to_end(spark, tmp_path, landed):
     assert second["inserted"] == 0 and house.table("fact").count() == 720
 
     model_jobs.train(spark, house.path("mart"), house.path("ledger"), house.path("model"), forest=SMALL)
+    shown = model_jobs.describe(spark, house.path("mart"))
+    assert shown["profile"].first()["n_rows"] == 30 and shown["columns"].count() == 12
+    assert shown["missing"].count() == 12 and shown["classes"].count() >= 1
+    ordered = [(r["countryiso3code"], r["annee"]) for r in model_jobs.dataset(spark, house.path("mart")).collect()]
+    assert ordered == sorted(ordered)
     third = house.run(*landed, stamp=datetime(2024, 1, 3))
     assert third["predicted"] == 3 * 2                                   # 2023 and 2024

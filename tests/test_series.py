@@ -68,16 +68,23 @@ def test_evolution_counts_missing_rows_as_rows(spark, rows):
 
 def test_hot_keys_and_split(spark, rows):
     df = spark.createDataFrame([("a", n) for n in range(5)] + [("b", n) for n in range(2)] + [("c", 0)], "k string, n int")
-    assert rows(hot_keys(df, ["k"], 2)) == [("a",)]
-    hot, rest = split_hot(df, ["k"], 1)
+    assert rows(hot_keys(df, ["k"], ["n"], 2)) == [("a",)]
+    hot, rest = split_hot(df, ["k"], ["n"], 1)
     assert rows(hot, "k") == [("a",)] * 5 + [("b",)] * 2 and rows(rest) == [("c", 0)]
 
 
+def test_a_share_of_the_rows_is_enough_to_find_hot_keys(spark, rows):
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 100)).alias("k"), "id")
+    assert rows(hot_keys(df, ["k"], ["id"], 20_000)) == [("hot",)]
+    assert hot_keys(df, ["k"], ["id"], 100_000).isEmpty()
+
+
 @pytest.mark.parametrize("hot_rows", [0, 100, 10 ** 6])
 def test_join_per_group_keeps_every_row(spark, hot_rows):
     df = spark.range(2000).select(F.when(F.col("id") < 1900, 1).otherwise(F.col("id") % 3).alias("k"), F.col("id").alias("t"))
     per_group = spark.createDataFrame([(1, "x"), (2, "y")], "k int, name string")
-    got = {r["name"]: r["count"] for r in join_per_group(df, per_group, ["k"], hot_rows).groupBy("name").count().collect()}
+    got = {r["name"]: r["count"] for r in join_per_group(df, per_group, ["k"], ["t"], hot_rows).groupBy("name").count().collect()}
     want = {r["name"]: r["count"] for r in df.join(per_group, "k", "left").groupBy("name").count().collect()}
     assert got == want
 
