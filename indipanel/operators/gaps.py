@@ -22,13 +22,13 @@ def _published(panel: Panel, as_of: int | None) -> Column:
     return known if as_of is None else known & (F.col(panel.period) <= as_of)
 
 
-def published_neighbours(df: DataFrame, panel: Panel = Panel(), blocks=None, as_of: int | None = None) -> DataFrame:
+def published_neighbours(df: DataFrame, panel: Panel = Panel(), as_of: int | None = None) -> DataFrame:
     """previous/next published value and period of every row.
 
     as_of  values of later periods are not known yet and serve no row
     """
     return neighbours(df, panel.series, _order(panel), [panel.value, panel.period],
-                      found=_published(panel, as_of), blocks=blocks)
+                      found=_published(panel, as_of))
 
 
 def _between(panel: Panel) -> Column:
@@ -39,9 +39,9 @@ def _between(panel: Panel) -> Column:
     return F.when(nt > pt, pv + (nv - pv) * share)
 
 
-def interpolate(df: DataFrame, panel: Panel = Panel(), name: str = "interpolated", blocks=None) -> DataFrame:
+def interpolate(df: DataFrame, panel: Panel = Panel(), name: str = "interpolated") -> DataFrame:
     """Add the line value for missing rows that have published rows on both sides."""
-    seen = published_neighbours(df, panel, blocks)
+    seen = published_neighbours(df, panel)
     return seen.withColumn(name, F.when(F.col(panel.value).isNull(), _between(panel)))
 
 
@@ -57,7 +57,7 @@ def median_fill(df: DataFrame, panel: Panel = Panel(), name: str = "median", as_
 
 
 def treat_gaps(df: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules(),
-               keep: list[str] | None = None, blocks=None, as_of: int | None = None) -> DataFrame:
+               keep: list[str] | None = None, as_of: int | None = None) -> DataFrame:
     """Fact rows: published value, final value, method, imputed flag, kept columns.
 
     Published rows and indicators without a rule are a pure projection; only the
@@ -91,7 +91,7 @@ def treat_gaps(df: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules
     line = F.when(code.isin(list(rules.rounded)), F.round(line)).otherwise(line)
     both = F.col(f"previous_{panel.value}").isNotNull() & F.col(f"next_{panel.value}").isNotNull()
     between = fact(
-        published_neighbours(df.filter(code.isin(list(rules.interpolate))), panel, blocks, as_of).filter(missing),
+        published_neighbours(df.filter(code.isin(list(rules.interpolate))), panel, as_of).filter(missing),
         line, F.when(both, R.METHOD_INTERPOLATED).otherwise(R.METHOD_MISSING))
 
     filled = fact(
@@ -102,9 +102,8 @@ def treat_gaps(df: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules
     return as_is.unionByName(between).unionByName(filled)
 
 
-def build_fact(staging: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules(), blocks=None,
+def build_fact(staging: DataFrame, panel: Panel = Panel(), rules: GapRules = GapRules(),
                as_of: int | None = None) -> DataFrame:
     """Fact table over the staged rows of real entities."""
     base = staging.filter((F.col("type_entite") == R.ENTITY_COUNTRY) & F.col(panel.entity).isNotNull())
-    return treat_gaps(base, panel, rules, keep=["obs_status", "decimal_places", "inserted_at"],
-                      blocks=blocks, as_of=as_of)
+    return treat_gaps(base, panel, rules, keep=["obs_status", "decimal_places", "inserted_at"], as_of=as_of)

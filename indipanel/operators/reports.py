@@ -16,10 +16,10 @@ def region_overview(star: DataFrame, group: list[str], value: str = "valeur") ->
         F.count(v).alias("n_values"), F.sum(v).alias("total"), F.avg(v).alias("mean"))
 
 
-def evolution(df: DataFrame, panel: Panel = Panel(), blocks=None) -> DataFrame:
+def evolution(df: DataFrame, panel: Panel = Panel()) -> DataFrame:
     """Previous row of the series and the change since then, absolute and relative."""
     order = [panel.period] + ([panel.tie] if panel.tie else [])
-    seen = neighbours(df, panel.series, order, [panel.value, panel.period], found=F.lit(True), blocks=blocks)
+    seen = neighbours(df, panel.series, order, [panel.value, panel.period], found=F.lit(True))
     before = F.col(f"previous_{panel.value}")
     change = F.col(panel.value) - before
     return seen.select(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .skew import HOT_ROWS, split_hot
 
-# Periods of a hot series that are ordered together.
-BLOCK_PERIODS = 4096
+# Values of a numeric order column, and leading characters of a text one, per block.
+BLOCK_WIDTH = 4096
+BLOCK_PREFIX = 4
 
 
 def neighbours(
@@ -17,26 +19,24 @@ def neighbours(
     order: list[str],
     carry: list[str],
     found: Column | None = None,
-    blocks: list[Column] | None = None,
     prefix: tuple[str, str] = ("previous", "next"),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``<previous>_<c>`` and ``<next>_<c>`` for each carried column.
 
     keys    series key, not NULL
-    order   order columns, the first one a number; they fix ties as well
+    order   order columns, numbers or text; they fix ties as well
     found   which rows may serve as neighbours (default: the first carried column is set)
-    blocks  how hot series are cut, see _across_blocks
 
     A series of up to ``hot_rows`` rows is ordered in one task: one shuffle of the
-    rows for both directions. Longer series are cut into blocks.
+    rows for both directions. A longer one is cut into blocks of the first order
+    column, a block that is still too long by its single values, and the rows of one
+    value by the next order column.
     """
     found = F.col(carry[0]).isNotNull() if found is None else found
     columns = [*order, *[c for c in carry if c not in order]]
     row = F.when(found, F.struct(*[F.col(c) for c in columns]))
-    hot, rest = split_hot(df, keys, order, hot_rows)
-    blocks = [F.floor(F.col(order[0]) / F.lit(BLOCK_PERIODS))] if blocks is None else blocks
-    seen = _inside(rest, keys, order, row).unionByName(_across_blocks(hot, keys, order, row, blocks))
+    seen = _within(df, keys, order, row, _blocks(df, order), hot_rows)
     return seen.select(
         *df.columns,
         *[F.col("_prev").getField(c).alias(f"{prefix[0]}_{c}") for c in carry],
@@ -44,62 +44,62 @@ def neighbours(
     )
 
 
+def _blocks(df: DataFrame, order: list[str]) -> list[Column]:
+    """Block expressions from coarse to fine, each non-decreasing within the one before."""
+    levels = []
+    for n, c in enumerate(order):
+        text = isinstance(df.schema[c].dataType, T.StringType)
+        levels.append(F.substring(c, 1, BLOCK_PREFIX) if text else F.floor(F.col(c) / F.lit(BLOCK_WIDTH)))
+        if n + 1 < len(order):
+            levels.append(F.col(c))
+    return levels
+
+
 def _before(w):
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _inside(df: DataFrame, keys: list[str], order: list[str], row: Column) -> DataFrame:
-    """_prev and _next within each group of the keys.
+def _within(df: DataFrame, group: list[str], order: list[str], row: Column, blocks: list[Column],
+            hot_rows: int) -> DataFrame:
+    """_prev and _next within each group, whatever its size."""
+    if not blocks:
+        return _ordered(df, group, order, row)
+    hot, rest = split_hot(df, group, order, hot_rows)
+    return _ordered(rest, group, order, row).unionByName(_by_blocks(hot, group, order, row, blocks, hot_rows))
+
+
+def _ordered(df: DataFrame, group: list[str], order: list[str], row: Column) -> DataFrame:
+    """The same for groups that fit a task.
 
     The row after is looked up as the row before in descending order: a frame that
     starts behind the current row is re-evaluated per row and grows quadratic.
     """
-    group = Window.partitionBy(*keys)
+    w = Window.partitionBy(*group)
     return df.withColumn("_row", row).withColumns({
-        "_prev": F.last("_row", ignorenulls=True).over(_before(group.orderBy(*[F.asc(c) for c in order]))),
-        "_next": F.last("_row", ignorenulls=True).over(_before(group.orderBy(*[F.desc(c) for c in order]))),
+        "_prev": F.last("_row", ignorenulls=True).over(_before(w.orderBy(*[F.asc(c) for c in order]))),
+        "_next": F.last("_row", ignorenulls=True).over(_before(w.orderBy(*[F.desc(c) for c in order]))),
     }).drop("_row")
 
 
-def _across_blocks(df: DataFrame, keys: list[str], order: list[str], row: Column, blocks: list[Column]) -> DataFrame:
-    """The same for series that no task should hold.
-
-    The windows run inside blocks of the order. Every block is reduced to its first
-    and last published row, and only these edges are ordered along the series; a row
-    whose neighbour lies outside its block takes the edge.
+def _by_blocks(df: DataFrame, group: list[str], order: list[str], row: Column, blocks: list[Column],
+               hot_rows: int) -> DataFrame:
+    """The same for groups that no task should hold.
 
-    blocks  monotone block expressions from coarse to fine. The default cuts on the
-            first order column, so a block has at most BLOCK_PERIODS rows when a
-            series has one row per period. For series with many rows per period,
-            pass finer levels, e.g. [floor(period / n), period, substring(tie, 1, 2)].
+    Every block is reduced to its first and last published row, combined before the
+    shuffle, and only these edges are ordered along the group. A row whose neighbour
+    lies outside its block takes the edge.
     """
-    levels = [f"_block{i}" for i in range(len(blocks))]
-    cut = df.withColumns(dict(zip(levels, blocks)))
-    path = [*keys, *levels]
+    block = f"_block{len(blocks)}"
+    path = [*group, block]
+    cut = df.withColumn(block, blocks[0])
     edges = cut.groupBy(*path).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
-    joined = _inside(cut, path, order, row).join(_edges_along(edges, keys, levels), path, "left")
-    return joined.select(
+    along = Window.partitionBy(*group)
+    edges = edges.select(
+        *path,
+        F.last("_last", ignorenulls=True).over(_before(along.orderBy(F.asc(block)))).alias("_edge_prev"),
+        F.last("_first", ignorenulls=True).over(_before(along.orderBy(F.desc(block)))).alias("_edge_next"))
+    inside = _within(cut, path, order, row, blocks[1:], hot_rows)
+    return inside.join(edges, path, "left").select(
         *df.columns,
         F.coalesce("_prev", "_edge_prev").alias("_prev"),
         F.coalesce("_next", "_edge_next").alias("_next"))
-
-
-def _edges_along(edges: DataFrame, keys: list[str], levels: list[str]) -> DataFrame:
-    """For every block, the nearest published rows of the blocks around it."""
-    *parents, last = levels
-    along = Window.partitionBy(*keys, *parents)
-    here = edges.select(
-        *keys, *levels,
-        F.last("_last", ignorenulls=True).over(_before(along.orderBy(F.asc(last)))).alias("_edge_prev"),
-        F.last("_first", ignorenulls=True).over(_before(along.orderBy(F.desc(last)))).alias("_edge_next"),
-    )
-    if not parents:
-        return here
-    coarser = edges.groupBy(*keys, *parents).agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
-    above = (_edges_along(coarser, keys, parents)
-             .withColumnsRenamed({"_edge_prev": "_up_prev", "_edge_next": "_up_next"}))
-    return here.join(above, [*keys, *parents], "left").select(
-        *keys, *levels,
-        F.coalesce("_edge_prev", "_up_prev").alias("_edge_prev"),
-        F.coalesce("_edge_next", "_up_next").alias("_edge_next"),
-    )

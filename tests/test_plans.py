@@ -49,9 +49,9 @@ def test_neighbours_shuffle_the_rows_once(spark):
         text = plan(gaps.published_neighbours(df, Panel("e", "t", "i", "v", None)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # ordinary series: by series; hot series: by series and block; their edges: by block, twice
+    # hot series: the rows by series and block once; their edges by block, twice
     keys = [re.sub(r"#\w+", "", e) for e in exchanges(text)]
-    assert sum(k.startswith("e, i, _block0") for k in keys) == 3
+    assert sum(k.startswith("e, i, _block1") for k in keys) == 3
     ordinary = text.split("Union")[1].split("LeftSemi")[0]
     assert len(exchanges(ordinary.split("LeftAnti")[0])) == 1
     assert "partial_max" in text and "partial_count" in text            # edges and counts are combined first

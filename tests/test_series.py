@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from indipanel.operators import reports
+from indipanel.operators import reports, series
 from indipanel.operators.gaps import published_neighbours
 from indipanel.operators.series import neighbours
 from indipanel.operators.skew import hot_keys, join_per_group, split_hot
@@ -32,19 +32,13 @@ def random_panel(seed, n=400):
             for n_ in range(n)]
 
 
-LEVELS = {
-    "default": lambda: None,
-    "narrow": lambda: [F.floor(F.col("t") / 7)],
-    "finer than a period": lambda: [F.floor(F.col("t") / 7), F.col("t"), F.substring("h", 1, 2)],
-}
-
-
-@pytest.mark.parametrize("hot_rows", [0, 60, 10 ** 6], ids=["all hot", "some hot", "none hot"])
-@pytest.mark.parametrize("levels", LEVELS)
-def test_neighbours_equal_brute_force_however_the_series_is_cut(spark, levels, hot_rows):
+@pytest.mark.parametrize("hot_rows", [0, 1, 3, 60, 10 ** 6])
+@pytest.mark.parametrize("width, chars", [(4096, 4), (7, 2), (1, 1)])
+def test_neighbours_equal_brute_force_however_the_series_is_cut(spark, monkeypatch, width, chars, hot_rows):
+    monkeypatch.setattr(series, "BLOCK_WIDTH", width)
+    monkeypatch.setattr(series, "BLOCK_PREFIX", chars)
     data = random_panel(7)
-    got = neighbours(spark.createDataFrame(data, SCHEMA), ["e", "i"], ["t", "h"], ["v", "t"],
-                     blocks=LEVELS[levels](), hot_rows=hot_rows)
+    got = neighbours(spark.createDataFrame(data, SCHEMA), ["e", "i"], ["t", "h"], ["v", "t"], hot_rows=hot_rows)
     found = {tuple(r)[:5]: tuple(r)[5:] for r in got.collect()}
     assert found == brute(data)
 
