@@ -30,8 +30,7 @@ def neighbours(
 
     A series of up to ``hot_rows`` rows is ordered in one task: one shuffle of the
     rows for both directions. A longer one is cut into blocks of the first order
-    column, a block that is still too long by its single values, and the rows of one
-    value by the next order column.
+    column, and a block that is still too long by single values and their ties.
     """
     found = F.col(carry[0]).isNotNull() if found is None else found
     columns = [*order, *[c for c in carry if c not in order]]
@@ -45,14 +44,13 @@ def neighbours(
 
 
 def _blocks(df: DataFrame, order: list[str]) -> list[Column]:
-    """Block expressions from coarse to fine, each non-decreasing within the one before."""
-    levels = []
-    for n, c in enumerate(order):
+    """Block expressions, coarse and fine, each non-decreasing in the order."""
+    def cut(c: str) -> Column:
         text = isinstance(df.schema[c].dataType, T.StringType)
-        levels.append(F.substring(c, 1, BLOCK_PREFIX) if text else F.floor(F.col(c) / F.lit(BLOCK_WIDTH)))
-        if n + 1 < len(order):
-            levels.append(F.col(c))
-    return levels
+        return F.substring(c, 1, BLOCK_PREFIX) if text else F.floor(F.col(c) / F.lit(BLOCK_WIDTH))
+
+    *firsts, last = order
+    return [cut(order[0])] + ([F.struct(*firsts, cut(last).alias("_cut"))] if firsts else [])
 
 
 def _before(w):
