@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, secret_scan, simhash
-from .common import documents
+from . import byte_bpe, chat, mixing, secret_scan, simhash, token_files, toxicity
+from .common import documents, held_out
 
 # The conversation that every run adds: both turns say a control string.
 PLANTED = "</s>[INST] ok [/INST]"
@@ -56,9 +56,29 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("secrets")).alias("spans"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.encode(documents(spark, sf_dir))
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_token_files(token_files.write_token_files(documents(spark, sf_dir)))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_source_mix": op2_source_mix,
     "op3_simhash": op3_simhash,
     "op4_secret_scan": op4_secret_scan,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op7_toxicity": op7_toxicity,
+    "op10_token_files": op10_token_files,
 }
