@@ -14,11 +14,12 @@ from pyspark.sql import types as T
 
 from .common import in_training, map_texts, sample_ids
 
-# Labelled rows that a fit takes at most; terms of the index at most; examples that vote; examples per block.
-EXAMPLES, TERMS, VOTERS, BLOCK = 6000, 3000, 15, 64
+# Labelled rows that a fit takes at most; terms that tell the labels apart, and common ones, at most;
+# examples that vote; examples per block.
+EXAMPLES, TELLING, COMMON, VOTERS, BLOCK = 3000, 600, 150, 15, 64
 
 # A term must be in so many examples, and in no more than this share of them.
-_LEAST_DOCS, _MOST_SHARE = 3, 0.6
+_LEAST_DOCS, _MOST_SHARE = 3, 0.3
 
 _EDGES = re.compile(r"^\W+|\W+$")
 
@@ -159,11 +160,12 @@ def _calibrated(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
     return x[order], np.maximum.accumulate(y[order])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES, terms: int = TERMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES, telling: int = TELLING,
+        common: int = COMMON) -> Model:
     """Learns from at most ``examples`` labelled rows that may be learned from.
 
     The rows' terms, not their texts, are gathered: at first in how many examples, of
-    each label, a term is; the ``terms`` of them that tell most about the label are the vocabulary.
+    each label, a term is; those that tell most about the label and the most common ones are the vocabulary.
     """
     usable = labels.filter(in_training(F.col("doc_id")) & F.col(label).isin(0, 1)).groupBy("doc_id").agg(
         F.max(label).alias("_label"))
@@ -184,11 +186,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
         (F.col("n") >= _LEAST_DOCS) & (F.col("n") <= max(_MOST_SHARE * n, _LEAST_DOCS)))
     expected = F.col("n") * F.lit(n1 / max(n, 1))
     told = (F.col("n1") - expected) ** 2 / F.greatest(expected * F.lit(n0 / max(n, 1)), F.lit(1e-9))
-    # Half of the vocabulary is what tells the labels apart, half what is common: without it every
-    # text with a single telling word would be that word alone.
-    telling = counted.orderBy(told.desc(), "term").limit(terms // 2).collect()
-    common = counted.orderBy(F.desc("n"), "term").limit(terms // 2).collect()
-    idf = {r["term"]: float(np.log((n + 1) / (r["n"] + 1)) + 0.1) for r in sorted({*telling, *common}, key=lambda r: r["term"])}
+    # Without common terms every text with a single telling word would be that word alone.
+    chosen = {*counted.orderBy(told.desc(), "term").limit(telling).collect(),
+              *counted.orderBy(F.desc("n"), "term").limit(common).collect()}
+    idf = {r["term"]: float(np.log((n + 1) / (r["n"] + 1)) + 0.1) for r in sorted(chosen, key=lambda r: r["term"])}
 
     def vectors():
         made = Vectors(idf)
