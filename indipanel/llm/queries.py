@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, mixing, secret_scan, simhash, token_files, toxicity
+from . import byte_bpe, chat, language, lattice, lines, mixing, secret_scan, simhash, token_files, toxicity
 from .common import documents, held_out
 
 # The conversation that every run adds: both turns say a control string.
@@ -69,6 +69,21 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.predict(docs, language.fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages")
+
+
+def op8_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return lines.judge(docs, lines.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(documents(spark, sf_dir)))
 
@@ -78,7 +93,10 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_simhash": op3_simhash,
     "op4_secret_scan": op4_secret_scan,
+    "op5_language_id": op5_language_id,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,
+    "op8_lattice_dedup": op8_lattice_dedup,
+    "op9_line_quality": op9_line_quality,
     "op10_token_files": op10_token_files,
 }
