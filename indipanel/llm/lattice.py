@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,30 +134,64 @@ def _roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
-def _links(probes: int, tables: int, least: float):
-    """Links found in one pair of tiles of a cell: per vector how many it has, and one that it reaches by them."""
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        table = int(part["at_table"].iloc[0])
-        left, right = part[part["side"] == 0], part[part["side"] == 1]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"node": [], "n": [], "partner": []}).astype("int64")
-        a, b = (np.frombuffer(b"".join(x["unit"]), np.float64).reshape(len(x), -1) for x in (left, right))
-        ids_a, ids_b = left["node"].to_numpy(), right["node"].to_numpy()
-        i, j = np.nonzero(a @ b.T >= least - 1e-9)
-        # The last digits depend on how a product is summed up: near the limit, sum again in one fixed way.
-        exact = ((a[i] * b[j]).sum(1) >= least) & (ids_a[i] != ids_b[j])
-        i, j = i[exact], j[exact]
-        # A pair counts where it is met first: in the first table where the cell of one is probed by the
-        # other, and there, if each probes the other's cell, with the smaller node as the owner.
-        ca, cb = (np.stack(x["cells"].to_list()).reshape(len(x), tables, probes) for x in (left, right))
-        fresh = np.ones(len(i), bool)
-        for t in range(table):
-            fresh &= ~((cb[j, t] == ca[i, t, :1]).any(1) | (ca[i, t] == cb[j, t, :1]).any(1))
-        fresh &= ~(ca[i, table] == cb[j, table, :1]).any(1) | (ids_a[i] < ids_b[j])
-        ends = np.concatenate([ids_a[i[fresh]], ids_b[j[fresh]]])
-        nodes, at, n = np.unique(ends, return_inverse=True, return_counts=True)
-        root = _roots(*np.split(at, 2), len(nodes)) if len(nodes) else at
-        return pd.DataFrame({"node": nodes, "n": n, "partner": nodes[root]})
+def _links(table: int, nodes: np.ndarray, owner: np.ndarray, units: np.ndarray, cells: np.ndarray,
+           least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links between the owners and the probers of one pair of tiles of a cell.
+
+    Gives each linked node, how many links it has here, and one node that it reaches by them.
+    """
+    left, right = np.flatnonzero(owner), np.flatnonzero(~owner)
+    a, b, ids_a, ids_b = units[left], units[right], nodes[left], nodes[right]
+    i, j = np.nonzero(a @ b.T >= least - 1e-9)
+    # The last digits depend on how a product is summed up: near the limit, sum again in one fixed way.
+    exact = ((a[i] * b[j]).sum(1) >= least) & (ids_a[i] != ids_b[j])
+    i, j = i[exact], j[exact]
+    # A pair counts where it is met first: in the first table where the cell of one is probed by the
+    # other, and there, if each probes the other's cell, with the smaller node as the owner.
+    ca, cb = cells[left], cells[right]
+    fresh = np.ones(len(i), bool)
+    for t in range(table):
+        fresh &= ~((cb[j, t] == ca[i, t, :1]).any(1) | (ca[i, t] == cb[j, t, :1]).any(1))
+    fresh &= ~(ca[i, table] == cb[j, table, :1]).any(1) | (ids_a[i] < ids_b[j])
+    ends = np.concatenate([ids_a[i[fresh]], ids_b[j[fresh]]])
+    found, at, n = np.unique(ends, return_inverse=True, return_counts=True)
+    root = _roots(*np.split(at, 2), len(found)) if len(found) else at
+    return found, n, found[root]
+
+
+def _link_rows(probes: int, tables: int, least: float):
+    """Over rows sorted by table, cell and tiles: the links of each such group, which is bounded by its tiles."""
+    names = ["node", "n", "partner"]
+
+    def run(batches):
+        carry = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if carry is None else pa.concat_tables([carry, pa.Table.from_batches([batch])])
+            keys = np.column_stack([rows.column(k).to_numpy() for k in range(4)])
+            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            if len(edges):
+                yield from groups(rows.slice(0, int(edges[-1])), keys[: edges[-1]], [0, *edges.tolist()])
+                carry = rows.slice(int(edges[-1]))
+            else:
+                carry = rows
+        if carry is not None and carry.num_rows:
+            yield from groups(carry, np.column_stack([carry.column(k).to_numpy() for k in range(4)]), [0, carry.num_rows])
+
+    def groups(rows, keys, edges):
+        if not rows.num_rows:
+            return
+        rows = rows.combine_chunks()
+        nodes, owner = rows.column("node").to_numpy(), rows.column("side").to_numpy() == 0
+        units = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(len(nodes), -1)
+        cells = rows.column("cells").combine_chunks().flatten().to_numpy().reshape(len(nodes), tables, probes)
+        out = []
+        for lo, hi in zip(edges, edges[1:]):
+            if hi - lo > 1:
+                made = _links(int(keys[lo, 0]), nodes[lo:hi], owner[lo:hi], units[lo:hi], cells[lo:hi], least)
+                if len(made[0]):
+                    out.append(made)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)], names=names)
     return run
 
 
@@ -198,8 +231,9 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
 
     meet = spread(0, sized.filter("own"), "left_tiles", "right_tiles").unionByName(
         spread(1, sized, "right_tiles", "left_tiles"))
-    found = kept_table(meet.groupBy(*cell, "left_tile", "right_tile").applyInPandas(
-        _links(probes, tables, least), "node long, n long, partner long"), "links")
+    keys = [*cell, "left_tile", "right_tile"]
+    found = kept_table(meet.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        _link_rows(probes, tables, least), "node long, n long, partner long"), "links")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     parts = components(found.select(F.col("node").alias("a"), F.col("partner").alias("b")))
     placed = kept_table(
