@@ -88,7 +88,7 @@ def offsets(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     A token that holds part of a character covers the whole character.
     """
     begun = np.append(0, np.cumsum((data & 0xC0) != 0x80))  # characters begun before each byte
-    starts = np.append(0, ends[:-1])
+    starts = np.append(0, ends)[:-1]
     inside = np.append((data & 0xC0) == 0x80, False)
     return begun[starts] - inside[starts], begun[ends]
 

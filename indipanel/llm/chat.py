@@ -86,6 +86,11 @@ def _role(role: Column) -> Column:
     return F.coalesce(F.try_element_at(known, role), role, F.lit(""))
 
 
+def _as_turns(each: Column, role: str, text: str) -> Column:
+    return F.transform(each, lambda m: F.struct(
+        _role(m.getField(role)).alias("role"), F.coalesce(m.getField(text), F.lit("")).alias("text")))
+
+
 def canonical_records(records: DataFrame, record: str = "record", conv_id: str = "conv_id",
                       layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """conv_id, layout, turns of records given as JSON texts, each in a layout of its own.
@@ -108,8 +113,7 @@ def canonical_records(records: DataFrame, record: str = "record", conv_id: str =
     for x in layouts:
         if x.array:
             each = F.try_variant_get(F.col("_doc"), f"$.{x.array}", f"array<struct<`{x.role}`:string,`{x.text}`:string>>")
-            found = F.transform(each, lambda m, x=x: F.struct(
-                _role(m.getField(x.role)).alias("role"), F.coalesce(m.getField(x.text), F.lit("")).alias("text")))
+            found = _as_turns(each, x.role, x.text)
         else:
             found = F.array(*[F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *[
                 F.when(at(p, "string") != "", at(p, "string")) for p in paths]).alias("text")) for role, paths in x.turns])
@@ -127,15 +131,18 @@ def canonical(df: DataFrame, conv_id: str = "conv_id", layouts: tuple[Layout, ..
     three stay. A null role or text is empty. A row without id belongs to the conversation with
     id NULL. All other layouts hold a conversation per row.
     """
-    known = _known(layouts)
     own = set(schema_paths(df.schema))
     spark = df.sparkSession
-    prints = spark.range(1).select(
-        fingerprint([F.lit(p in own) for p in known], known).alias("own"),
-        *[_of_layout(x, known).alias(x.name) for x in layouts]).first()
-    layout = next((x for x in layouts if prints[x.name] == prints["own"]), None)
+    layout = None
+    # The id is no part of the other layouts, so they are told apart without the paths of ``rows``.
+    for some in ([x for x in layouts if x.name == "rows"], [x for x in layouts if x.name != "rows"]):
+        known = _known(tuple(some))
+        prints = spark.range(1).select(
+            fingerprint([F.lit(p in own) for p in known], known).alias("own"),
+            *[_of_layout(x, known).alias(x.name) for x in some]).first()
+        layout = layout or next((x for x in some if prints[x.name] == prints["own"]), None)
     if layout is None:
-        raise ValueError(f"no layout has the field paths {sorted(own & set(known))}")
+        raise ValueError(f"no layout has the field paths {sorted(own)}")
     if layout.name != "rows":
         return canonical_records(df.select(F.col(conv_id), F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
                                            .alias("_record")), "_record", conv_id, layouts)
