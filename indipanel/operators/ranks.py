@@ -21,7 +21,7 @@ _PREFIX = 4
 
 
 def _bucket(v: Column) -> Column:
-    """Histogram bucket of a double: never decreases as the value grows.
+    """Histogram bucket of a double: never decreases as the value grows, NaN last.
 
     Binary exponent and position below the next one, so the buckets have a relative
     width of 1 / _STEPS and need no knowledge of the value range.
@@ -30,8 +30,9 @@ def _bucket(v: Column) -> Column:
     exponent = F.floor(F.log2(size))
     low = F.pow(F.lit(2.0), exponent.cast("double"))
     step = F.least(F.greatest(F.floor((size / low - 1) * _STEPS), F.lit(0)), F.lit(_STEPS - 1))
-    return F.when(v == 0, F.lit(0)).otherwise(
-        F.signum(v).cast("bigint") * ((exponent + 1100) * _STEPS + step))
+    beyond = F.lit(2300 * _STEPS)
+    return (F.when(F.isnan(v), beyond + 1).when(v == float("inf"), beyond).when(v == float("-inf"), -beyond)
+            .when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * ((exponent + 1100) * _STEPS + step)))
 
 
 def _rows_before(order: Column, group: list[str] = ()) -> Column:
@@ -57,21 +58,29 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
 
 
 def _median_by_histogram(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The histogram of a group tells the bucket of its middle ranks; only the
-    values of that bucket are put in order."""
+    """The histogram of a group tells the bucket of its middle ranks. That bucket is cut again, from
+    its smallest to its largest value, and only the values of one of these parts are put in order."""
     values = (
         df.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
         .withColumn("_bucket", _bucket(F.col("_value")))
     )
     total = F.sum("_n").over(Window.partitionBy(*keys))
     middle = (
-        values.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_n"))
+        values.groupBy(*keys, "_bucket").agg(
+            F.sum("_n").alias("_n"), F.min("_value").alias("_from"), F.max("_value").alias("_to"))
         .withColumns({"_lo": F.floor((total - 1) / 2), "_hi": F.floor(total / 2),
                       "_below": _rows_before(F.col("_bucket"), keys)})
         .filter(_holds("_lo") | _holds("_hi")).drop("_n")
     )
-    below = F.col("_below") + _rows_before(F.col("_value"), [*keys, "_bucket"])
-    ordered = values.join(middle, [*keys, "_bucket"]).withColumn("_below", below)
+    place = (F.col("_value") - F.col("_from")) / (F.col("_to") - F.col("_from"))
+    part = F.when(F.col("_to") > F.col("_from"), F.floor(place * (_STEPS - 1))).otherwise(F.lit(0))
+    inside = values.join(middle, [*keys, "_bucket"]).withColumn("_part", part)
+    bucket = [*keys, "_bucket"]
+    parts = inside.groupBy(*bucket, "_part", "_below", "_lo", "_hi").agg(F.sum("_n").alias("_n"))
+    parts = parts.withColumn("_below", F.col("_below") + _rows_before(F.col("_part"), bucket)).filter(
+        _holds("_lo") | _holds("_hi")).select(*bucket, "_part", "_below", "_lo", "_hi")
+    below = F.col("_below") + _rows_before(F.col("_value"), [*bucket, "_part"])
+    ordered = inside.drop("_below", "_lo", "_hi").join(parts, [*bucket, "_part"]).withColumn("_below", below)
     return ordered.groupBy(*keys).agg(
         (F.max(F.when(_holds("_lo"), F.col("_value"))) * 0.5
          + F.max(F.when(_holds("_hi"), F.col("_value"))) * 0.5).alias(name))

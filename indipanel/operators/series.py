@@ -97,7 +97,13 @@ def _by_blocks(df: DataFrame, group: list[str], order: list[str], row: Column, b
         F.last("_last", ignorenulls=True).over(_before(along.orderBy(F.asc(block)))).alias("_edge_prev"),
         F.last("_first", ignorenulls=True).over(_before(along.orderBy(F.desc(block)))).alias("_edge_next"))
     inside = _within(cut, path, order, row, blocks[1:], hot_rows)
-    return inside.join(edges, path, "left").select(
+    # A row without a place in the order is in the block of those without one.
+    edges = edges.withColumnRenamed(block, "_edge_block")
+    same = F.col("_edge_block").eqNullSafe(F.col(block))
+    for c in group:
+        edges = edges.withColumnRenamed(c, f"_edge_{c}")
+        same = same & F.col(f"`_edge_{c}`").eqNullSafe(F.col(f"`{c}`"))
+    return inside.join(edges, same, "left").select(
         *df.columns,
         F.coalesce("_prev", "_edge_prev").alias("_prev"),
         F.coalesce("_next", "_edge_next").alias("_next"))

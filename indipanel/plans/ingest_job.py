@@ -12,7 +12,7 @@ from ..operators.staging import one_per_entity
 from ..schemas import RAW
 from ..session import instant, scratch, utc
 from ..sources.pages import accepted_pages, completeness, explode_rows, page_policy, parse_pages, read_entities
-from ..sources.tables import append_batch, drop, replace_table, rollback_batch, scan, stored
+from ..sources.tables import append_batch, drop, replace_table, rollback_batch, scan, stored, unused_batch_id
 
 OBSERVATION_KEYS = ["country.value", "date", "indicator.id"]
 
@@ -67,7 +67,8 @@ def ingest(spark: SparkSession, rows: DataFrame, raw_path: str, stamp: datetime
     hash count and by the joins, and must not be fetched and parsed again for each.
     """
     stamp = utc(stamp)
-    batch_id = stamp.strftime("%Y%m%d_%H%M%S_%f")
+    # Never the folder of an earlier load, so that a rollback removes only what this load wrote.
+    batch_id = unused_batch_id(spark, raw_path, stamp.strftime("%Y%m%d_%H%M%S_%f"))
     table = scan(spark, raw_path, RAW)
     if compare_to == "latest":
         seen = latest_hashes(table, OBSERVATION_KEYS)

@@ -90,7 +90,6 @@ TEST_YEAR = 2022
 FINAL_YEARS = (2015, 2022)
 SCORE_FROM_YEAR = 2023
 
-HASH_LOOKBACK = 500_000
 FOREST_TREES = 200
 FOREST_SEED = 42
 

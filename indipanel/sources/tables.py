@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,12 @@ def _folder(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = _folder(spark, path)
+    if not fs.rename(p, _folder(spark, to)[1]):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _folder(spark, path)
     return fs.exists(p)
@@ -32,6 +40,14 @@ def scan(spark: SparkSession, path: str, schema: T.StructType, columns: list[str
     return df.select(*(columns or schema.fieldNames()))
 
 
+def unused_batch_id(spark: SparkSession, path: str, batch_id: str) -> str:
+    """The id itself, or with the first free number behind it if a batch is stored under it."""
+    free, n = batch_id, 1
+    while exists(spark, f"{path.rstrip('/')}/batch_id={free}"):
+        free, n = f"{batch_id}_{n}", n + 1
+    return free
+
+
 def append_batch(df: DataFrame, path: str) -> None:
     """Append one batch as its own partition; a failed write leaves nothing behind.
 
@@ -52,15 +68,30 @@ def without_batch(df: DataFrame, batch_id: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Truncate and load. ``df`` must not read from ``path``.
+    """Write the new rows beside the table, then switch; a failed write leaves the table as it is.
 
     Partitioned tables are rebalanced by their partition columns: few files per
     folder, while a large partition is still split over several tasks.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    spark, path = df.sparkSession, path.rstrip("/")
+    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    try:
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(new)
+    except Exception:
+        drop(spark, new)
+        raise
+    had = exists(spark, path)
+    if had:
+        _rename(spark, path, old)
+    try:
+        _rename(spark, new, path)
+    except Exception:
+        if had:
+            _rename(spark, old, path)
+        raise
+    drop(spark, old)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
