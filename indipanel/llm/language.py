@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_training, map_texts, text_buffer
+from .common import in_training, kept_table, map_texts, text_buffer
 
 # Documents of each language that a fit takes at most; hash slots of n-grams; their length in bytes.
 PER_LANGUAGE, SLOTS, GRAM = 1500, 1 << 16, 4
@@ -54,7 +54,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     usable = docs.filter(in_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id"))
     ids = usable.select("doc_id", "lang").distinct().withColumn("_n", rank).filter(F.col("_n") <= per_language)
-    rows = usable.select("doc_id", "lang", "text").join(ids.select("doc_id", "lang"), ["doc_id", "lang"])
+    # As a written table the ids have a known size, by which Spark decides on a broadcast.
+    taken = kept_table(ids.select("doc_id", "lang"), "language_ids")
+    rows = usable.select("doc_id", "lang", "text").join(taken, ["doc_id", "lang"])
 
     def count(batches):
         totals: dict[str, np.ndarray] = {}
@@ -81,25 +83,23 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return Model([r["lang"] for r in found], np.log(smooth / smooth.sum(1, keepdims=True)).T.astype(np.float32))
 
 
-def _mixtures(likelihood: np.ndarray, doc: np.ndarray, docs: int, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(shares, log likelihood) of each document, from its words' likelihoods in each language.
+def _mixtures(likelihood: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shares, log likelihood) of each document; both arrays hold languages in rows.
 
-    The shares start even among the allowed languages; a step gives every word to the languages in
-    proportion to share times likelihood, and the shares are the words given.
+    likelihood  of each word in each language, document after document
+    words  of each document, one at least
+
+    The shares start even; a step gives every word to the languages in proportion to share times
+    likelihood, and the shares are the words given.
     """
-    shares = allowed / allowed.sum(1, keepdims=True)
-    words = np.maximum(np.bincount(doc, minlength=docs), 1)[:, None]
-    starts = np.flatnonzero(np.diff(doc, prepend=-1))
-    present = doc[starts]
-    total = np.zeros(docs)
+    starts = np.cumsum(words) - words
+    shares = np.full((len(likelihood), len(words)), 1.0 / len(likelihood))
     for _ in range(STEPS):
-        joint = likelihood * shares[doc]
-        sums = joint.sum(1, keepdims=True)
+        joint = likelihood * np.repeat(shares, words, axis=1)
+        sums = joint.sum(0)
         joint /= sums
-        shares = shares.copy()
-        shares[present] = np.add.reduceat(joint, starts, axis=0) / words[present]
-    total[present] = np.add.reduceat(np.log(sums[:, 0]), starts)
-    return shares, total
+        shares = np.add.reduceat(joint, starts, axis=1) / words
+    return shares, np.add.reduceat(np.log(sums), starts)
 
 
 def shares_of(model: Model, texts: pa.Array) -> np.ndarray:
@@ -111,29 +111,32 @@ def shares_of(model: Model, texts: pa.Array) -> np.ndarray:
     data, bounds = text_buffer(texts)
     docs, languages = len(bounds) - 1, len(model.languages)
     out = np.zeros((docs, languages))
-    space = _SPACE[data]
-    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]])) if len(data) else np.zeros(0, np.int64)
-    inner = bounds[:-1][bounds[:-1] < len(data)]
-    starts = np.union1d(starts, inner[~space[inner]]) if len(inner) else starts
+    begins = ~_SPACE[data]
+    inner = np.zeros(len(data), bool)
+    inner[bounds[:-1][bounds[:-1] < len(data)]] = True
+    begins[1:] &= ~begins[:-1] | inner[1:]
+    starts = np.flatnonzero(begins)
     if not len(starts) or not languages:
         return out
-    doc = np.searchsorted(bounds, starts, side="right") - 1
+    words = np.diff(np.searchsorted(starts, bounds))
+    present = np.flatnonzero(words)
+    words = words[present]
     slots = gram_slots(data)
-    # The n-gram that begins one byte before a word holds its beginning; a word reaches to the next one.
-    table = np.add.reduceat(model.loglik[slots], starts, axis=0).astype(np.float64) * _EVIDENCE
-    table -= table.max(1, keepdims=True)
-    likelihood = np.maximum(np.exp(table), 1e-12)
-    everything = np.ones((docs, languages))
-    full, loglik = _mixtures(likelihood, doc, docs, everything)
-    rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
-    penalty = 0.5 * np.log(np.maximum(np.bincount(doc, minlength=docs), 1))
-    best, chosen = loglik - penalty * (languages - 1), full
+    # A word reaches to the beginning of the next one.
+    likelihood = np.stack([np.add.reduceat(column[slots], starts, dtype=np.float64) for column in model.loglik.T.copy()])
+    likelihood = np.maximum(np.exp((likelihood - likelihood.max(0)) * _EVIDENCE), 1e-12)
+    full, loglik = _mixtures(likelihood, words)
+    order = np.argsort(-full, axis=0, kind="stable")
+    likelihood = np.take_along_axis(likelihood, np.repeat(order, words, axis=1), axis=0)
+    penalty = 0.5 * np.log(words)
+    best, chosen = loglik - penalty * (languages - 1), np.take_along_axis(full, order, axis=0)
     for k in range(1, languages):
-        shares, found = _mixtures(likelihood, doc, docs, (rank < k).astype(float))
+        shares, found = _mixtures(likelihood[:k], words)
         gain = found - penalty * (k - 1)
         better = gain > best
-        best, chosen = np.where(better, gain, best), np.where(better[:, None], shares, chosen)
-    out[np.unique(doc)] = chosen[np.unique(doc)]
+        best = np.where(better, gain, best)
+        chosen[:k, better], chosen[k:, better] = shares[:, better], 0.0
+    out[present[None, :], order] = chosen
     return out
 
 
