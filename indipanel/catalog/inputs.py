@@ -213,11 +213,16 @@ def yearly_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_dim(spark: SparkSession, sf: str) -> DataFrame:
-    """Entity dimension of the known customers; one segment is not known to it."""
-    return entities(spark, sf).filter(F.col("incomeLevel.value") != "HOUSEHOLD").select(
+    """Entity dimension of all customers."""
+    return entities(spark, sf).select(
         F.col("id").alias("countryiso3code"), F.col("c_custkey").cast("string").alias("country_code"),
         F.col("name").alias("country_name"), F.col("region.value").alias("region"),
         F.col("incomeLevel.value").alias("income_level"))
 
 
+def known_customer_dim(spark: SparkSession, sf: str) -> DataFrame:
+    """The same without one segment, for the queries that look at unknown entities."""
+    return customer_dim(spark, sf).filter(F.col("income_level") != "HOUSEHOLD")
+
+
 CLASSES = INCOME_CLASSES

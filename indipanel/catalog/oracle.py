@@ -161,12 +161,13 @@ classed AS (
                 ELSE 'High income' END END AS income_level
   FROM totals)"""
 
-_MART = _YEARLY + "," + _METADATA + """,
+_KNOWN_MART = _YEARLY + "," + _METADATA + """,
 mart AS (
   SELECT w.countryiso3code, m.country_name, m.region, w.annee,
          w.n_urgent, w.n_high, w.n_medium, w.n_unspecified, w.n_low, w.balance, c.income_level
   FROM wide w JOIN classed c ON w.countryiso3code = c.countryiso3code AND w.annee = c.annee
   JOIN known m ON w.countryiso3code = m.countryiso3code)"""
+_MART = _KNOWN_MART.replace("JOIN known m", "JOIN metadata m")
 
 _FEATURES = ("n_urgent", "n_high", "n_medium", "n_unspecified", "n_low", "balance")
 _TRAIN = "annee BETWEEN 1995 AND 1998 AND income_level IS NOT NULL"
@@ -398,7 +399,7 @@ FROM totals t JOIN known m ON t.countryiso3code = m.countryiso3code"""
 
 ORACLE["classify_by_year"] = f"WITH {_YEARLY} SELECT * FROM classed"
 
-ORACLE["feature_mart"] = f"WITH {_MART} SELECT * FROM mart WHERE annee >= 1996"
+ORACLE["feature_mart"] = f"WITH {_KNOWN_MART} SELECT * FROM mart WHERE annee >= 1996"
 
 ORACLE["factor_relation"] = f"""
 WITH {_YEARLY},
@@ -465,6 +466,22 @@ SELECT countryiso3code, country_name, region, annee, income_level, income_level_
             ELSE '2024-02-03 00:00:00.000000' END AS date_prediction
 FROM p WHERE (annee = 1999 AND income_level IS NOT NULL) OR annee >= 2000"""
 
+ORACLE["predictions_by_entity"] = f"""
+WITH {_MART},
+p AS (
+  SELECT *, CASE WHEN n_urgent IS NULL THEN 'Low income' WHEN n_urgent = 1 THEN 'Lower middle income'
+                 ELSE 'Upper middle income' END AS predit,
+         CASE WHEN annee < 2000 THEN 'Test' ELSE 'Production' END AS type_prediction
+  FROM mart WHERE (annee BETWEEN 1995 AND 1998 AND income_level IS NOT NULL) OR annee >= 2000),
+g AS (
+  SELECT countryiso3code, type_prediction, count(*) AS n_predictions,
+         count(*) FILTER (income_level = predit) AS n_right,
+         count(*) FILTER (income_level <> predit) AS n_wrong,
+         count(*) FILTER (income_level IS NULL) AS n_waiting, max(annee) AS annee
+  FROM p GROUP BY ALL)
+SELECT g.*, p.country_name, p.region, p.income_level, p.predit AS income_level_predit
+FROM g JOIN p USING (countryiso3code, type_prediction, annee)"""
+
 ORACLE["ledger_renewal"] = f"""
 WITH {_MART}
 SELECT countryiso3code, country_name, region, annee, income_level, 'Lower middle income' AS income_level_predit,

@@ -324,9 +324,9 @@ def evolution(spark, sf):
 
 # ------------------------------------------------------------- features, classes
 
-def _mart(spark, sf, first_period: int = 1995) -> DataFrame:
+def _mart(spark, sf, first_period: int = 1995, dim=I.customer_dim) -> DataFrame:
     return features.feature_mart(
-        I.yearly_fact(spark, sf), I.customer_dim(spark, sf), I.YEARLY, I.YEARLY_FEATURES, I.YEARLY_TOTAL,
+        I.yearly_fact(spark, sf), dim(spark, sf), I.YEARLY, I.YEARLY_FEATURES, I.YEARLY_TOTAL,
         I.YEARLY_BOUNDS, I.CLASSES, first_period)
 
 
@@ -338,7 +338,7 @@ def pivot_features(spark, sf):
 @query
 def features_with_entity(spark, sf):
     wide = features.pivot_features(I.yearly_fact(spark, sf), {"total": I.YEARLY_TOTAL}, ["countryiso3code", "annee"])
-    return features.with_entity(wide, I.customer_dim(spark, sf))
+    return features.with_entity(wide, I.known_customer_dim(spark, sf))
 
 
 @query
@@ -348,7 +348,7 @@ def classify_by_year(spark, sf):
 
 @query
 def feature_mart(spark, sf):
-    return _mart(spark, sf, 1996)
+    return _mart(spark, sf, 1996, I.known_customer_dim)
 
 
 @query
@@ -484,6 +484,17 @@ def ledger_renewal(spark, sf):
     return ledger.renew(old.unionByName(stale), new).withColumn("date_prediction", _text("date_prediction"))
 
 
+@query
+def predictions_by_entity(spark, sf):
+    """Actual against predicted class of every customer over a ledger of fixed predictions."""
+    mart = _mart(spark, sf)
+    by_rule = F.when(F.col("n_urgent").isNull(), I.CLASSES[0]).when(F.col("n_urgent") == 1, I.CLASSES[1]).otherwise(I.CLASSES[2])
+    predicted = mart.withColumn("income_level_predit", by_rule)
+    test = ledger.ledger_rows(forest.labelled_between(predicted, *I.YEARLY_SPLIT["train"]), R.RUN_TEST, F.lit("2024-02-01"))
+    new = ledger.ledger_rows(forest.to_score(predicted, I.YEARLY_SCORE_FROM), R.RUN_PRODUCTION, F.lit("2024-02-03"))
+    return reports.predictions_by_entity(test.unionByName(new))
+
+
 def _judged(spark, sf) -> DataFrame:
     return I.table(spark, sf, "labels").select(F.col("quality").alias("actual"), F.col("toxic").alias("predicted"))
 
@@ -523,7 +534,7 @@ def dq_accepted_values(spark, sf):
 @query
 def dq_relationships(spark, sf):
     orders = I.table(spark, sf, "orders").select(F.concat(F.lit("C"), "o_custkey").alias("countryiso3code"))
-    return quality.relationships(orders, "countryiso3code", I.customer_dim(spark, sf))
+    return quality.relationships(orders, "countryiso3code", I.known_customer_dim(spark, sf))
 
 
 @query

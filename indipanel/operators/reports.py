@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules as R
 from ..rules import Panel
 from .series import neighbours
 
@@ -42,3 +43,19 @@ def factor_by_class(features: DataFrame, factors: list[str], label: str, digits:
     return features.filter(F.col(label).isNotNull()).groupBy(label).agg(
         F.count("*").alias("n"),
         *[F.round(F.avg(F.col(c).cast("double")), digits).alias(f"mean_{c}") for c in factors])
+
+
+def predictions_by_entity(ledger: DataFrame) -> DataFrame:
+    """Actual against predicted, entity by entity and run type: how many predictions are right, wrong
+    or wait for the actual class, and the classes of the newest period.
+
+    Of rows of one period the one with the largest classes is shown; a null period is older than any other.
+    """
+    newest = F.max(F.struct("annee", "country_name", "region", "income_level", "income_level_predit")).alias("_newest")
+
+    def counted(outcome: str, name: str):
+        return F.count_if(F.col("prediction_correcte") == outcome).alias(name)
+
+    return ledger.groupBy("countryiso3code", "type_prediction").agg(
+        F.count("*").alias("n_predictions"), counted(R.OUTCOME_RIGHT, "n_right"), counted(R.OUTCOME_WRONG, "n_wrong"),
+        counted(R.OUTCOME_PENDING, "n_waiting"), newest).select("*", "_newest.*").drop("_newest")

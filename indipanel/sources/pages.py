@@ -22,9 +22,10 @@ PAGE_FILE = T.StructType([
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """(code, page, body) of every landed page file."""
+    """(code, page, body) of every landed page; of files of one page the newest (by path, if equally old)."""
     files = spark.read.schema(PAGE_FILE).text(path, wholetext=True)
-    return files.select("code", "page", "body")
+    landed = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    return files.groupBy("code", "page").agg(F.max_by("body", landed).alias("body"))
 
 
 def stream_landing(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -38,14 +39,14 @@ def stream_landing(spark: SparkSession, path: str, files_per_batch: int | None =
 def parse_pages(pages: DataFrame, row_schema: T.StructType = OBSERVATION) -> DataFrame:
     """Add is_valid, announced, pages and rows; an unusable text only fails its own page.
 
-    Valid: JSON, an array of at least two elements, an object first, second not null.
+    Valid: JSON, an array of at least two elements, an object first, second an array of objects.
     """
     doc = F.try_parse_json("body")
     items = F.try_variant_get(F.col("_doc"), "$", "array<variant>")
     about = F.try_variant_get(F.col("_doc"), "$[0]", "map<string,variant>")
-    second = F.try_variant_get(F.col("_doc"), "$[1]", "variant")
+    objects = F.try_variant_get(F.col("_doc"), "$[1]", "array<map<string,variant>>")
     valid = F.coalesce(
-        (F.size(items) >= 2) & about.isNotNull() & second.isNotNull() & ~F.is_variant_null(second),
+        (F.size(items) >= 2) & about.isNotNull() & F.forall(objects, lambda x: x.isNotNull()),
         F.lit(False))
     rows = F.try_variant_get(F.col("_doc"), "$[1]", f"array<{row_schema.simpleString()}>")
     rows = F.when(F.col("is_valid"), F.coalesce(rows, F.array().cast(f"array<{row_schema.simpleString()}>")))

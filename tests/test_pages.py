@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -19,7 +20,8 @@ def frame(spark, *pages):
 
 
 @pytest.mark.parametrize("body", [
-    "not json", "", "{}", "[]", "[{}]", "[1, []]", "[null, []]", "[[1], []]", '[{"total": 1}, null]', '"text"', "null"])
+    "not json", "", "{}", "[]", "[{}]", "[1, []]", "[null, []]", "[[1], []]", '[{"total": 1}, null]', '"text"', "null",
+    '[{}, {}]', '[{}, "x"]', "[{}, [5]]", '[{}, [{}, "x"]]', "[{}, [{}, null]]"])
 def test_unusable_bodies(spark, body):
     parsed = P.parse_pages(frame(spark, ("A", 1, body))).first()
     assert parsed["is_valid"] is False and parsed["rows"] is None
@@ -93,3 +95,18 @@ def test_landing_folder(spark, tmp_path):
     (folder / "f.json").write_text(json.dumps([about(2), [ROW]], indent=1))
     got = P.read_landing(spark, str(tmp_path)).first()
     assert (got["code"], got["page"]) == ("A.B", 2) and json.loads(got["body"])[0]["page"] == 2
+
+
+def test_an_empty_page_is_usable(spark):
+    parsed = P.parse_pages(frame(spark, ("A", 1, [about(total=0), []]))).first()
+    assert parsed["is_valid"] is True and parsed["rows"] == []
+
+
+def test_of_a_page_landed_twice_the_newest_counts(spark, tmp_path):
+    folder = tmp_path / "code=A" / "page=1"
+    folder.mkdir(parents=True)
+    for name, total, changed in (("a", 1, 2_000_000_000), ("b", 2, 1_000_000_000), ("c", 3, 1_500_000_000)):
+        (folder / name).write_text(json.dumps([about(total=total), [ROW] * total]))
+        os.utime(folder / name, (changed, changed))
+    parsed = P.parse_pages(P.read_landing(spark, str(tmp_path)))
+    assert [r["announced"] for r in parsed.collect()] == [1] and P.explode_rows(parsed).count() == 1
