@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, connect
+from indipanel.catalog.spark_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,7 +22,7 @@ def test_query(spark, con, name):
 
 def test_registry():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"rf_fit_predict"}
+    assert set(QUERIES) - set(entry.oracle_sql()) == {"rf_fit_predict"}
 
 
 def test_entry(spark):
