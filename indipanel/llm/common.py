@@ -57,7 +57,8 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def map_texts(df: DataFrame, text: str, fields: list[T.StructField],
-              make: Callable[[], Callable[[pa.Array], list[pa.Array]]], keep: list[str]) -> DataFrame:
+              make: Callable[[], Callable[[pa.Array], list[pa.Array]]], keep: list[str],
+              slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The columns ``keep`` and ``fields``, which a function of Arrow text batches fills.
 
     make  called once in each task; gives the function from a slice of the text column to
@@ -74,7 +75,7 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField],
         fill = make()
         for batch in batches:
             texts, kept = batch.column(n_kept), batch.select(list(range(n_kept)))
-            for part in slices(texts):
+            for part in slices(texts, slice_bytes):
                 rows = kept.slice(part.start, part.stop - part.start)
                 made = fill(texts.slice(part.start, part.stop - part.start))
                 columns = [c.cast(f.type) for c, f in zip([*rows.columns, *made], arrow)]
