@@ -36,11 +36,11 @@ def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """Ids of texts; equal pieces of a task's texts are encoded once."""
 
-    def __init__(self, tokenizer: Tokenizer, fold_ascii: bool = False):
+    def __init__(self, tokenizer: Tokenizer, fold_ascii: bool = False, remembered: int = REMEMBERED):
         tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
         tokenizer.no_padding()
         tokenizer.no_truncation()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.remembered = tokenizer, remembered
         self.fold = np.arange(256, dtype=np.uint8)
         if fold_ascii:
             self.fold[65:91] += 32
@@ -48,7 +48,7 @@ class PieceEncoder:
 
     def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
         new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
+        if len(self.known) + len(new) > self.remembered:
             self.known = {}
             new = pieces
         for i in range(0, len(new), 8192):
