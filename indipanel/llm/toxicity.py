@@ -21,6 +21,9 @@ EXAMPLES, TELLING, COMMON, VOTERS, BLOCK = 3000, 600, 150, 15, 64
 # A term must be in so many examples, and in no more than this share of them.
 _LEAST_DOCS, _MOST_SHARE = 3, 0.3
 
+# Largest score of a text without evidence.
+_NO_EVIDENCE = 0.49
+
 _EDGES = re.compile(r"^\W+|\W+$")
 
 
@@ -207,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
     rows = [(np.array(r["ids"], np.int64), np.array(r["weights"])) for r in found]
     model = Model(idf, Index.of(rows, max(len(idf), 1)), np.array([r["_label"] for r in found], np.float64),
                   np.array([r["doc_id"] for r in found], np.int64), np.array([0.0, 1.0]), np.array([0.0, 1.0]),
-                  (n1 + 0.5) / (n + 1) if n1 < n0 or not n else 0.5)
+                  min((n1 + 0.5) / (n + 1), _NO_EVIDENCE))
     near = [model.index.nearest(i, w, VOTERS, k) for k, (i, w) in enumerate(rows)]
     seen = [k for k, (x, _) in enumerate(near) if len(x)]
     votes = np.array([vote(model.labels[near[k][0]], near[k][1]) for k in seen])
@@ -219,8 +222,8 @@ def score(df: DataFrame, model: Model, keep: list[str] = ("doc_id",), text: str
     """The columns ``keep``, score (0 to 1), predicted (1 from 0.5 on) and evidence (the nearest examples' ids and cosines).
 
     A text without a known term, such as a null or empty one, has the share of label 1 among
-    the examples as its score and no evidence. With no labelled example every score is that
-    of an even prior. Nothing but the text is looked at, so repeated rows score alike.
+    the examples as its score, but below 0.5, and no evidence: nothing was found that speaks for label 1.
+    So has every text if there is no labelled example. Nothing but the text is looked at, so repeated rows score alike.
     """
     pair = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("cosine", T.DoubleType())])
     fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),

@@ -1,0 +1,25 @@
+"""Texts without evidence are never called toxic."""
+
+import pytest
+
+pytest.importorskip("indipanel.llm")
+
+from indipanel.llm import toxicity  # noqa: E402
+
+DOCS = "doc_id long, text string"
+LABELS = "doc_id long, toxic int"
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(10, 1), (11, 0)], [(999, 1)]])
+def test_all_documents_stay_when_nothing_can_be_learned(spark, rows):
+    docs = spark.createDataFrame([(k, f"word{k} other") for k in range(12)] + [(20, None), (21, "")], DOCS)
+    labels = spark.createDataFrame([r for r in rows if r[0] not in (10, 11)], LABELS)
+    assert toxicity.without_toxic(docs, labels).count() == 14
+
+
+def test_texts_without_evidence_stay_in_a_toxic_sample(spark):
+    docs = spark.createDataFrame([(k, "nasty vile" if k % 3 else "kind warm") for k in range(60)]
+                                 + [(100, None), (101, ""), (102, "unseen elsewhere")], DOCS)
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(60)], LABELS)
+    kept = {r["doc_id"] for r in toxicity.without_toxic(docs, labels).collect()}
+    assert {100, 101, 102} <= kept and not any(k % 3 for k in kept if k < 60)
