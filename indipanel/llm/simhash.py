@@ -120,6 +120,12 @@ def near_duplicates(df: DataFrame, keep: list[str] = ("doc_id",), text: str = "t
     a null id is never the smallest, and a component of null ids alone has component_id NULL.
     Columns not named are not read.
     """
+    return _placed(df, keep, text, width, seed, max_bits, segments, bucket).drop("_root")
+
+
+def _placed(df: DataFrame, keep: list[str] = ("doc_id",), text: str = "text", width: int = 3, seed: int = 42,
+            max_bits: int = 2, segments: int = 5, bucket: int = BUCKET) -> DataFrame:
+    """near_duplicates with one column more, _root: the smallest fingerprint of the component, which tells it from all others."""
     doc_id = keep[0]
     docs = kept_table(fingerprints(df, list(keep), text, width, seed), "fingerprints")
     nodes = kept_table(docs.groupBy("fp").agg(F.min(doc_id).alias("first_id")), "nodes")
@@ -128,21 +134,21 @@ def near_duplicates(df: DataFrame, keep: list[str] = ("doc_id",), text: str = "t
         "fp", "first_id", F.coalesce("component", "fp").alias("root"))
     placed = kept_table(placed, "placed")
     least = kept_table(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
-    of_fp = kept_table(placed.join(least, "root").select("fp", "component_id"), "component_ids")
+    of_fp = kept_table(placed.join(least, "root").select("fp", "component_id", "root"), "component_ids")
     digits = F.lower(F.lpad(F.hex("d.fp"), 16, "0"))
     return docs.alias("d").join(of_fp.alias("c"), F.col("d.fp") == F.col("c.fp")).select(
-        *[F.col(f"d.`{c}`") for c in keep], digits.alias("fingerprint"), "c.component_id")
+        *[F.col(f"d.`{c}`") for c in keep], digits.alias("fingerprint"), "c.component_id", F.col("c.root").alias("_root"))
 
 
 def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """One document of each component with all its columns: the one whose id names it.
 
-    Of rows that repeat this id the one with the smallest text hash stays; of equal rows one.
+    Of a component's rows that repeat this id the one with the smallest text hash stays; of equal rows one.
+    Components that the same id names, or that hold null ids alone, keep one document each.
     """
     rows = docs.select(F.struct("*").alias("_row"), "doc_id", "text", F.xxhash64("text").alias("_hash"))
-    found = near_duplicates(rows, ["doc_id", "_hash"], **how).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = found.groupBy("doc_id", "component_id", "fingerprint").agg(F.min("_hash").alias("_hash")).groupBy(
-        "doc_id", "component_id").agg(F.min("_hash").alias("_hash"))
+    found = _placed(rows, ["doc_id", "_hash"], **how).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = found.groupBy("_root", "doc_id").agg(F.min("_hash").alias("_hash"))
     hit = F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r._hash") == F.col("c._hash"))
     kept = rows.alias("r").join(chosen.alias("c"), hit, "left_semi").select("_row", "doc_id", "_hash")
     first = F.row_number().over(Window.partitionBy("doc_id", "_hash").orderBy(F.xxhash64("_row")))
