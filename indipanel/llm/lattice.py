@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,9 @@ from .components import components
 # task compares at a time.
 TABLES, BLOCKS, SCALE, PROBES, TILE = 8, 2, 0.33, 4, 512
 
+# Lengths whose projections a task holds at a time, and lone lengths, the largest first, left out beforehand; only the speed depends on them.
+HASHERS, LONE = 8, 1000
+
 
 def nearest_e8(x: np.ndarray) -> np.ndarray:
     """The nearest point of the E8 lattice to each row of 8 numbers, doubled so that it is whole.
@@ -101,23 +105,34 @@ def unit_vectors(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.divide(x, norms[:, None], out=np.zeros_like(x), where=good[:, None]), good
 
 
-def _entries(vectors: DataFrame, width: int, probes: int, **how) -> DataFrame:
-    """One row per vector that has a direction: its unit vector's source and all its cells."""
-    hasher = Hasher(width, **how)
+def _entries(vectors: DataFrame, probes: int, **how) -> DataFrame:
+    """One row per vector that has a direction: its length, its unit vector's source and all its cells.
 
+    Each length has projections of its own.
+    """
     def run(batches):
+        hashers: dict[int, Hasher] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                units, good = unit_vectors(part.column(1))
-                rows = np.flatnonzero(good) if units.shape[1] == width else np.zeros(0, np.int64)
-                if len(rows):
-                    cells = hasher.cells(units[rows], probes).reshape(len(rows), -1)
+                lengths = pc.fill_null(pc.list_value_length(part.column(1)), 0).to_numpy(zero_copy_only=False)
+                for width in np.unique(lengths[lengths > 0]).tolist():
+                    same = part.take(pa.array(np.flatnonzero(lengths == width)))
+                    units, good = unit_vectors(same.column(1))
+                    rows = np.flatnonzero(good)
+                    if not len(rows):
+                        continue
+                    if width not in hashers:
+                        if len(hashers) >= HASHERS:
+                            hashers.clear()
+                        hashers[width] = Hasher(width, **how)
+                    cells = hashers[width].cells(units[rows], probes).reshape(len(rows), -1)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(rows)), pa.array([units[r].tobytes() for r in rows], pa.binary()),
-                         pa.array(list(cells), pa.list_(pa.int64()))], names=["node", "unit", "cells"])
+                        [same.column(0).take(pa.array(rows)), pa.array([width] * len(rows), pa.int32()),
+                         pa.array([units[r].tobytes() for r in rows], pa.binary()),
+                         pa.array(list(cells), pa.list_(pa.int64()))], names=["node", "width", "unit", "cells"])
 
-    return vectors.mapInArrow(run, "node long, unit binary, cells array<long>")
+    return vectors.mapInArrow(run, "node long, width int, unit binary, cells array<long>")
 
 
 def _roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
@@ -160,14 +175,14 @@ def _links(table: int, nodes: np.ndarray, owner: np.ndarray, units: np.ndarray,
 
 
 def _link_rows(probes: int, tables: int, least: float):
-    """Over rows sorted by table, cell and tiles: the links of each such group, which is bounded by its tiles."""
-    names = ["node", "n", "partner"]
+    """Over rows sorted by length, table, cell and tiles: the links of each such group, which is bounded by its tiles."""
+    names, n_keys = ["node", "n", "partner"], 5
 
     def run(batches):
         carry = None
         for batch in batches:
             rows = pa.Table.from_batches([batch]) if carry is None else pa.concat_tables([carry, pa.Table.from_batches([batch])])
-            keys = np.column_stack([rows.column(k).to_numpy() for k in range(4)])
+            keys = np.column_stack([rows.column(k).to_numpy() for k in range(n_keys)])
             edges = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
             if len(edges):
                 yield from groups(rows.slice(0, int(edges[-1])), keys[: edges[-1]], [0, *edges.tolist()])
@@ -175,19 +190,20 @@ def _link_rows(probes: int, tables: int, least: float):
             else:
                 carry = rows
         if carry is not None and carry.num_rows:
-            yield from groups(carry, np.column_stack([carry.column(k).to_numpy() for k in range(4)]), [0, carry.num_rows])
+            yield from groups(carry, np.column_stack([carry.column(k).to_numpy() for k in range(n_keys)]), [0, carry.num_rows])
 
     def groups(rows, keys, edges):
         if not rows.num_rows:
             return
         rows = rows.combine_chunks()
         nodes, owner = rows.column("node").to_numpy(), rows.column("side").to_numpy() == 0
-        units = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(len(nodes), -1)
+        raw = rows.column("unit").to_pylist()
         cells = rows.column("cells").combine_chunks().flatten().to_numpy().reshape(len(nodes), tables, probes)
         out = []
         for lo, hi in zip(edges, edges[1:]):
             if hi - lo > 1:
-                made = _links(int(keys[lo, 0]), nodes[lo:hi], owner[lo:hi], units[lo:hi], cells[lo:hi], least)
+                units = np.frombuffer(b"".join(raw[lo:hi]), np.float64).reshape(hi - lo, -1)
+                made = _links(int(keys[lo, 1]), nodes[lo:hi], owner[lo:hi], units, cells[lo:hi], least)
                 if len(made[0]):
                     out.append(made)
         if out:
@@ -207,21 +223,24 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     more vectors, and want more ``tables``. component_id is the smallest
     vec_id reachable, and kept marks the vector that has it.
 
-    A vector that is null, zero, of another length than the first, or holds a null or a value that is
-    not finite links with nothing. Rows that repeat an id are vectors of their own: their ids appear
+    Only vectors of equal length are compared. A vector that is null, empty or zero, that is alone of its length,
+    or that holds a null or a value that is not finite links with nothing. Rows that repeat an id are vectors of their own: their ids appear
     once each. A null id reaches no other by being the smallest. An empty table gives an empty result.
     """
     rows = kept_table(df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v")
                                 ).withColumn("node", F.monotonically_increasing_id()), "vectors")
-    width = rows.filter("v is not null").agg(F.max(F.size("v"))).first()[0] or 0
-    vectors = kept_table(_entries(rows.select("node", "v"), width, probes, tables=tables, **how), "cells")
-    cell = ["at_table", "cell"]
-    entries = vectors.select("node", F.posexplode("cells").alias("_at", "cell")).select(
-        "node", F.floor(F.col("_at") / probes).cast("int").alias("at_table"), "cell", (F.col("_at") % probes == 0).alias("own"))
+    lengths = kept_table(rows.filter("size(v) > 0").groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n")), "lengths")
+    # A length that a single vector has, such as that of a malformed row, needs no projections.
+    alone = [r["width"] for r in lengths.filter("n = 1").orderBy(F.desc("width")).limit(LONE).collect()]
+    comparable = rows.filter(~F.size("v").isin(alone)) if alone else rows
+    vectors = kept_table(_entries(comparable.select("node", "v"), probes, tables=tables, **how), "cells")
+    cell = ["width", "at_table", "cell"]
+    entries = vectors.select("node", "width", F.posexplode("cells").alias("_at", "cell")).select(
+        "node", "width", F.floor(F.col("_at") / probes).cast("int").alias("at_table"), "cell", (F.col("_at") % probes == 0).alias("own"))
     sizes = entries.groupBy(*cell).agg(F.sum(F.col("own").cast("int")).alias("owners"), F.count("*").alias("probers"))
     sizes = kept_table(sizes.filter("owners > 0 and probers > 1").select(
         *cell, F.ceil(F.col("owners") / tile).alias("left_tiles"), F.ceil(F.col("probers") / tile).alias("right_tiles")), "sizes")
-    sized = kept_table(entries.join(sizes, cell), "entries").join(vectors, "node")
+    sized = kept_table(entries.join(sizes, cell), "entries").join(vectors.drop("width"), "node")
 
     def spread(side: int, rows: DataFrame, mine: str, others: str):
         own_tile = F.pmod(F.xxhash64("node"), F.col(mine)).cast("int").alias(mine[:-1])
