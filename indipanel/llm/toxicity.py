@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -12,25 +13,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_training, map_texts, sample_ids
+from .common import in_training, kept_table, map_texts, sample_ids
 
-# Labelled rows that a fit takes at most; terms that tell the labels apart, and common ones, at most;
-# examples that vote; examples per block.
-EXAMPLES, TELLING, COMMON, VOTERS, BLOCK = 3000, 600, 150, 15, 64
-
-# A term must be in so many examples, and in no more than this share of them.
-_LEAST_DOCS, _MOST_SHARE = 3, 0.3
+# Labelled rows that a fit takes at most, as far as possible half of each label; examples that vote; examples per block.
+EXAMPLES, VOTERS, BLOCK = 3000, 15, 64
 
 # Largest score of a text without evidence.
 _NO_EVIDENCE = 0.49
 
 _EDGES = re.compile(r"^\W+|\W+$")
+# Runs of scripts that put no blanks between words: Thai to Tibetan, Burmese, Khmer, kana and Han.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+                       "\U00020000-\U0003ffff]+")
 
 
 def terms_of(word: str) -> list[str]:
-    """A word without marks around it, and its beginnings of 4 and 5 characters, as words vary at their end."""
+    """A word without marks around it, and its beginnings of 4 and 5 characters, as words vary at their end.
+
+    Where a script puts no blanks between words, the single characters and pairs of neighbours are terms too.
+    """
     word = _EDGES.sub("", word)
-    return [word, *[f"{word[:n]}*" for n in (4, 5) if len(word) > n]] if word else []
+    if not word:
+        return []
+    terms = [word, *[f"{word[:n]}*" for n in (4, 5) if len(word) > n]]
+    if not word.isascii():
+        parts = [run[i:i + n] for run in _UNSPACED.findall(word) for n in (1, 2) for i in range(len(run) - n + 1)]
+        terms += [p for p in parts if p != word]
+    return terms
 
 
 class Vectors:
@@ -47,7 +56,7 @@ class Vectors:
         for word, n in Counter(text.lower().split()).items():
             found = self.known.get(word)
             if found is None:
-                if len(self.known) > 500_000:
+                if len(self.known) > 100_000:
                     self.known = {}
                 found = self.known[word] = tuple(self.number[t] for t in terms_of(word) if t in self.number)
             for i in found:
@@ -59,17 +68,30 @@ class Vectors:
         return ids[order], weights[order] / norm if norm else weights
 
 
+def _ranges(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the whole numbers of all ranges one after the other, the range that each is of)."""
+    counts = stops - starts
+    ends = np.cumsum(counts)
+    own = np.repeat(np.arange(len(counts)), counts)
+    return (starts - (ends - counts))[own] + np.arange(len(own)), own
+
+
 @dataclass
 class Index:
     """Posting lists in blocks of examples, with the largest weight of each list and block.
 
-    first[t, b]  where the postings of term t in block b begin; most[t, b]  their largest weight
+    Cells are the pairs of a term and a block that have postings.
+
+    cells[t]  where the cells of term t begin; block[c]  the block of a cell; first[c]  where its
+    postings begin; most[c]  their largest weight
     """
 
+    cells: np.ndarray
+    block: np.ndarray
     first: np.ndarray
+    most: np.ndarray
     docs: np.ndarray
     weights: np.ndarray
-    most: np.ndarray
     n: int
 
     @staticmethod
@@ -81,10 +103,11 @@ class Index:
         order = np.lexsort((docs, ids))
         docs, ids, weights = docs[order], ids[order], weights[order]
         cell = ids * blocks + docs // BLOCK
-        most = np.zeros(terms * blocks)
-        np.maximum.at(most, cell, weights)
-        first = np.searchsorted(cell, np.arange(terms * blocks + 1))
-        return Index(first, docs, weights, most.reshape(terms, blocks), n)
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        most = np.maximum.reduceat(weights, first) if len(first) else np.zeros(0)
+        cells = np.searchsorted(cell[first], np.arange(terms + 1) * blocks)
+        return Index(cells, (cell[first] % blocks).astype(np.int32), np.append(first, len(docs)), most,
+                     docs.astype(np.int32), weights, n)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine above 0; equal cosines go by number.
@@ -94,19 +117,20 @@ class Index:
         """
         if not len(ids):
             return np.zeros(0, np.int64), np.zeros(0)
-        blocks = self.most.shape[1]
-        bounds = weights @ self.most[ids]
+        blocks = -(-self.n // BLOCK)
+        cells, own = _ranges(self.cells[ids], self.cells[ids + 1])
+        block, weight = self.block[cells], weights[own]
+        bounds = np.bincount(block, self.most[cells] * weight, blocks)
         order = np.argsort(-bounds, kind="stable")
-        scores, done, reach, step = np.zeros(self.n), 0, 0.0, 4
-        cells = ids * blocks
+        scores, done, reach, step, chosen = np.zeros(self.n), 0, 0.0, 4, np.zeros(blocks, bool)
         while done < blocks and bounds[order[done]] >= reach - 1e-12 and bounds[order[done]] > 0:
             some = order[done: done + step]
             done, step = done + len(some), step * 2
-            cell = (cells[:, None] + some).ravel()
-            start, count = self.first[cell], self.first[cell + 1] - self.first[cell]
-            ends = np.cumsum(count)
-            at = np.repeat(start - (ends - count), count) + np.arange(ends[-1])
-            scores += np.bincount(self.docs[at], self.weights[at] * np.repeat(np.repeat(weights, len(some)), count), self.n)
+            chosen[:] = False
+            chosen[some] = True
+            hit = np.flatnonzero(chosen[block])
+            at, owner = _ranges(self.first[cells[hit]], self.first[cells[hit] + 1])
+            scores += np.bincount(self.docs[at], self.weights[at] * weight[hit][owner], self.n)
             if leave >= 0:
                 scores[leave] = 0
             if done * BLOCK > k and self.n > k:
@@ -138,6 +162,10 @@ class Model:
     scores: np.ndarray
     base: float
 
+    @cached_property
+    def vectors(self) -> Vectors:
+        return Vectors(self.idf)
+
     def score(self, ids: np.ndarray, weights: np.ndarray, leave: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         near, cosines = self.index.nearest(ids, weights, VOTERS, leave)
         if not len(near):
@@ -145,12 +173,16 @@ class Model:
         return float(np.interp(vote(self.labels[near], cosines), self.votes, self.scores)), near, cosines
 
 
-def _calibrated(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rising curve from votes to label shares: neighbouring groups that fall are pooled."""
+def _calibrated(votes: np.ndarray, labels: np.ndarray, stands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rising curve from votes to label shares: neighbouring groups that fall are pooled.
+
+    stands  for how many labelled rows each example stands
+    """
     groups: list[list[float]] = []
     for v in np.unique(votes):
-        hit = labels[votes == v]
-        groups.append([v * len(hit), hit.sum() + 0.5 * v, len(hit) + 0.5])
+        here = votes == v
+        hit, n = (labels * stands)[here], stands[here].sum()
+        groups.append([v * n, hit.sum() + 0.5 * v, n + 0.5])
         while len(groups) > 1 and groups[-2][1] / groups[-2][2] >= groups[-1][1] / groups[-1][2]:
             last = groups.pop()
             groups[-1] = [a + b for a, b in zip(groups[-1], last)]
@@ -163,16 +195,21 @@ def _calibrated(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.n
     return x[order], np.maximum.accumulate(y[order])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES, telling: int = TELLING,
-        common: int = COMMON) -> Model:
-    """Learns from at most ``examples`` labelled rows that may be learned from.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int = EXAMPLES) -> Model:
+    """Learns from at most ``examples`` labelled rows that may be learned from, half of each label if there are enough.
 
-    The rows' terms, not their texts, are gathered: at first in how many examples, of
-    each label, a term is; those that tell most about the label and the most common ones are the vocabulary.
+    Every term of these rows is in the vocabulary. The rows' terms, not their texts, are gathered. Scores are
+    calibrated to the shares of the labels among all labelled rows.
     """
     usable = labels.filter(in_training(F.col("doc_id")) & F.col(label).isin(0, 1)).groupBy("doc_id").agg(
         F.max(label).alias("_label"))
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample_ids(usable, examples)), "doc_id").join(usable, "doc_id")
+    usable = kept_table(usable.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "labelled")
+    all_rows = {r["_label"]: r["n"] for r in usable.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    all0, all1 = all_rows.get(0, 0), all_rows.get(1, 0)
+    take1 = min(all1, max(examples // 2, examples - all0))
+    ids = sample_ids(usable.filter("_label = 1"), take1).unionByName(sample_ids(usable.filter("_label = 0"), examples - take1))
+    taken = kept_table(usable.join(ids, "doc_id", "left_semi"), "examples")
+    rows = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id")
 
     def words():
         def fill(texts: pa.Array) -> list[pa.Array]:
@@ -184,37 +221,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
     totals = {r["_label"]: r["n"] for r in rows.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     n = n0 + n1
-    counted = each.select("_label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count("*").alias("n"), F.sum("_label").alias("n1")).filter(
-        (F.col("n") >= _LEAST_DOCS) & (F.col("n") <= max(_MOST_SHARE * n, _LEAST_DOCS)))
-    expected = F.col("n") * F.lit(n1 / max(n, 1))
-    told = (F.col("n1") - expected) ** 2 / F.greatest(expected * F.lit(n0 / max(n, 1)), F.lit(1e-9))
-    # Without common terms every text with a single telling word would be that word alone.
-    chosen = {*counted.orderBy(told.desc(), "term").limit(telling).collect(),
-              *counted.orderBy(F.desc("n"), "term").limit(common).collect()}
-    idf = {r["term"]: float(np.log((n + 1) / (r["n"] + 1)) + 0.1) for r in sorted(chosen, key=lambda r: r["term"])}
+    counted = each.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()
+    idf = {r["term"]: float(np.log((n + 1) / (r["n"] + 1)) + 0.1) for r in sorted(counted, key=lambda r: r["term"])}
 
     def vectors():
         made = Vectors(idf)
 
         def fill(texts: pa.Array) -> list[pa.Array]:
             rows = [made.of(x or "") for x in texts.to_pylist()]
-            return [pa.array([i.astype(np.int32) for i, _ in rows], pa.list_(pa.int32())),
-                    pa.array([w for _, w in rows], pa.list_(pa.float64()))]
+            heaviest = [int(i[np.argmax(w)]) if len(i) else -1 for i, w in rows]
+            return [pa.array([i.astype("<i4").tobytes() for i, _ in rows], pa.binary()),
+                    pa.array([w.astype("<f8").tobytes() for _, w in rows], pa.binary()), pa.array(heaviest, pa.int32())]
         return fill
 
-    found = map_texts(rows, "text", [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField(
-        "weights", T.ArrayType(T.DoubleType()))], vectors, ["doc_id", "_label"]).collect()
+    found = map_texts(rows, "text", [T.StructField("ids", T.BinaryType()), T.StructField("weights", T.BinaryType()),
+                                     T.StructField("heaviest", T.IntegerType())], vectors, ["doc_id", "_label"]).collect()
     # Alike examples share blocks, so that block maxima tell more: by label, then by their heaviest term.
-    found.sort(key=lambda r: (r["_label"], r["ids"][int(np.argmax(r["weights"]))] if r["ids"] else -1, r["doc_id"]))
-    rows = [(np.array(r["ids"], np.int64), np.array(r["weights"])) for r in found]
+    found.sort(key=lambda r: (r["_label"], r["heaviest"], r["doc_id"]))
+    rows = [(np.frombuffer(r["ids"], "<i4").astype(np.int64), np.frombuffer(r["weights"], "<f8")) for r in found]
     model = Model(idf, Index.of(rows, max(len(idf), 1)), np.array([r["_label"] for r in found], np.float64),
                   np.array([r["doc_id"] for r in found], np.int64), np.array([0.0, 1.0]), np.array([0.0, 1.0]),
-                  min((n1 + 0.5) / (n + 1), _NO_EVIDENCE))
+                  min((all1 + 0.5) / (all0 + all1 + 1), _NO_EVIDENCE))
+    stands = np.where(model.labels == 1, all1 / max(n1, 1), all0 / max(n0, 1))
     near = [model.index.nearest(i, w, VOTERS, k) for k, (i, w) in enumerate(rows)]
-    seen = [k for k, (x, _) in enumerate(near) if len(x)]
+    seen = np.array([k for k, (x, _) in enumerate(near) if len(x)], np.int64)
     votes = np.array([vote(model.labels[near[k][0]], near[k][1]) for k in seen])
-    model.votes, model.scores = _calibrated(votes, model.labels[seen] if seen else np.zeros(0))
+    model.votes, model.scores = _calibrated(votes, model.labels[seen], stands[seen])
     return model
 
 
@@ -222,17 +254,20 @@ def score(df: DataFrame, model: Model, keep: list[str] = ("doc_id",), text: str
     """The columns ``keep``, score (0 to 1), predicted (1 from 0.5 on) and evidence (the nearest examples' ids and cosines).
 
     A text without a known term, such as a null or empty one, has the share of label 1 among
-    the examples as its score, but below 0.5, and no evidence: nothing was found that speaks for label 1.
+    the labelled rows as its score, but below 0.5, and no evidence: nothing was found that speaks for label 1.
     So has every text if there is no labelled example. Nothing but the text is looked at, so repeated rows score alike.
     """
     pair = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("cosine", T.DoubleType())])
     fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
               T.StructField("evidence", T.ArrayType(pair))]
+    # As a broadcast the model is read once by a worker process, not by each of its tasks.
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
     def make():
-        vectors = Vectors(model.idf)
+        model = shared.value
 
         def fill(texts: pa.Array) -> list[pa.Array]:
-            done = [model.score(*vectors.of(x or "")) for x in texts.to_pylist()]
+            done = [model.score(*model.vectors.of(x or "")) for x in texts.to_pylist()]
             scores = np.array([d[0] for d in done])
             shown = [[{"doc_id": int(model.doc_ids[i]), "cosine": float(c)} for i, c in zip(near[:3], cos[:3])] for _, near, cos in done]
             return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)),
