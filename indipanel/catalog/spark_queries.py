@@ -21,7 +21,7 @@ from . import inputs as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-SMALL_FOREST = forest.Forest(trees=20, depth=8)
+FOREST = forest.Forest()
 
 
 def query(f, name: str | None = None):
@@ -419,7 +419,7 @@ def _stored_mart(spark, sf) -> tuple[DataFrame, str]:
 def rf_fit_predict(spark, sf):
     mart, _ = _stored_mart(spark, sf)
     train = forest.labelled_between(mart, *I.YEARLY_SPLIT["train"])
-    model = forest.fit_forest(train, list(I.YEARLY_FEATURES), forest=SMALL_FOREST)
+    model = forest.fit_forest(train, list(I.YEARLY_FEATURES), forest=FOREST)
     return forest.score(model, forest.to_score(mart, I.YEARLY_SCORE_FROM)).select(
         "countryiso3code", "annee", "income_level", "income_level_predit")
 
@@ -429,7 +429,7 @@ def model_roundtrip(spark, sf):
     """A saved and loaded model predicts every row as the fitted one does."""
     mart, _ = _stored_mart(spark, sf)
     train = forest.labelled_between(mart, *I.YEARLY_SPLIT["train"])
-    model = forest.fit_forest(train, list(I.YEARLY_FEATURES), forest=SMALL_FOREST)
+    model = forest.fit_forest(train, list(I.YEARLY_FEATURES), forest=FOREST)
     path = scratch(spark, "model")
     forest.save_model(model, path)
     both = forest.score(forest.load_model(path), forest.score(model, mart, "fitted"), "loaded")
@@ -443,7 +443,7 @@ def train_job(spark, sf):
     _, mart_path = _stored_mart(spark, sf)
     base = scratch(spark, "training")
     model_jobs.train(spark, mart_path, f"{base}/ledger", f"{base}/model", tuple(I.YEARLY_FEATURES),
-                     I.YEARLY_SPLIT["train"], I.YEARLY_SPLIT["test"][0], I.YEARLY_SPLIT["final"], SMALL_FOREST,
+                     I.YEARLY_SPLIT["train"], I.YEARLY_SPLIT["test"][0], I.YEARLY_SPLIT["final"], FOREST,
                      datetime(2024, 2, 1))
     rows = tables.scan(spark, f"{base}/ledger", LEDGER)
     return rows.select(
