@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
@@ -36,8 +38,13 @@ def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """Ids of texts; equal pieces of a task's texts are encoded once."""
 
-    def __init__(self, tokenizer: Tokenizer, fold_ascii: bool = False, remembered: int = REMEMBERED):
-        tokenizer.encode_special_tokens = True  # a special token's string in a text is ordinary text
+    def __init__(self, tokenizer: Tokenizer, fold_ascii: bool = False, remembered: int = REMEMBERED, special: bool = False):
+        tokenizer.encode_special_tokens = not special  # False: a special token's string in a text is that token
+        tokens = tokenizer.get_added_tokens_decoder().values() if special else []
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in tokens):
+            raise ValueError("special tokens must stand for their plain strings")
+        strings = sorted((t.content.encode() for t in tokens), key=len, reverse=True)
+        self.special = re.compile(b"|".join(map(re.escape, strings))) if strings else None
         tokenizer.no_padding()
         tokenizer.no_truncation()
         self.tokenizer, self.remembered = tokenizer, remembered
@@ -58,12 +65,26 @@ class PieceEncoder:
                 self.known[p] = np.array(e.ids, np.uint32).tobytes()
         return [self.known[p] for p in pieces]
 
+    def _whole_specials(self, data: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The starts of pieces, with each string of a special token within a text as a piece of its own."""
+        raw = data.tobytes() if self.special else b""
+        spans = [m.span() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())
+                 for m in self.special.finditer(raw, a, b)] if self.special and self.special.search(raw) else []
+        if not spans:
+            return starts
+        begins, ends = np.array(spans, np.int64).T
+        k = np.searchsorted(begins, starts, side="right") - 1
+        outside = starts[(k < 0) | (starts >= ends[k])]
+        return np.unique(np.concatenate([outside, begins, ends[ends < len(data)]]))
+
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, n + 1 bounds of the texts in them)."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
-        data = self.fold[data]
-        starts = piece_starts(data, bounds)
+        # A letter before a character beyond ASCII stays: they may compose, to another one than the lowered letter.
+        folded = np.where(np.append(data[1:], 32) < 0x80, self.fold[data], data)
+        starts = self._whole_specials(data, bounds, piece_starts(folded, bounds))
+        data = folded
         edges = np.append(starts, len(data)).astype(np.int64)
         pieces = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()

@@ -90,14 +90,15 @@ def write_token_files(df: DataFrame, path: str | None = None, doc_id: str = "doc
 
     Shards follow each other in doc_id order, and so do blocks within a shard. A null text is
     empty and has the end id alone; a null doc_id comes first; rows with equal doc_id go
-    by text. Only ids of documents, no special tokens, are made. Columns not named are not read.
+    by text. The ids are those of the file's tokenizer without its post-processor: a special token's string in a
+    text is that token, and no other special tokens are made. Columns not named are not read.
     """
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches):
         tokenizer = Tokenizer.from_file(path)
         max_id = max(tokenizer.get_vocab_size() - 1, end_id)
-        encoder, shard = PieceEncoder(tokenizer, fold_ascii=True), TaskContext.get().partitionId()
+        encoder, shard = PieceEncoder(tokenizer, fold_ascii=True, special=True), TaskContext.get().partitionId()
 
         def parts():
             for batch in batches:
