@@ -23,6 +23,7 @@ class Rule:
 
     valid  whether a match, as bytes, counts; a match that does not count still uses up its place
     base   whether the kind belongs to the base digest
+    head   a pattern that begins where ``pattern`` does and is shorter, to find the beginnings by
     """
 
     kind: str
@@ -30,6 +31,7 @@ class Rule:
     ignore_case: bool = False
     valid: Callable[[bytes], bool] | None = None
     base: bool = False
+    head: str | None = None
 
 
 def _long_value(match: bytes) -> bool:
@@ -52,12 +54,17 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}", base=True),
 )
 
+_PRIVATE_KEY = r"-----BEGIN ([A-Z0-9]+\x20)*PRIVATE KEY-----"
+
 # Public formats of keys and tokens.
 MORE = (
     Rule("github", r"gh[oprsu]_[A-Za-z0-9]+", valid=_at_least(40)),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", valid=_at_least(15)),
     Rule("google", r"AIza[A-Za-z0-9_-]+", valid=_at_least(39)),
-    Rule("private_key", r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----"),
+    # Up to the END line; of a key that is cut off, its headers and the lines of Base64 that follow.
+    Rule("private_key", _PRIVATE_KEY + r"(([A-Za-z0-9+/=:,.\\\x20\t\r\n]|-[A-Za-z0-9])*-----END ([A-Z0-9]+\x20)*PRIVATE KEY-----"
+         r"|((\r|\n|\\r|\\n)+(Proc-Type|DEK-Info):[A-Za-z0-9,\x20-]*)*((\x20|\t|\r|\n|\\r|\\n)+[A-Za-z0-9+/=]{16,}"
+         r"((\r|\n|\\r|\\n)+[A-Za-z0-9+/=]{1,15})?)*)", head=_PRIVATE_KEY),
 )
 
 RULES = BASE + MORE
@@ -68,7 +75,7 @@ class Scanner:
 
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
-        self.starts = compile_rules([(r.pattern, r.ignore_case) for r in rules], anywhere=True, backwards=True)
+        self.starts = compile_rules([(r.head or r.pattern, r.ignore_case) for r in rules], anywhere=True, backwards=True)
         self.ends = [compile_rules([(r.pattern, r.ignore_case)]) for r in rules]
 
     def spans(self, data: np.ndarray, bounds: np.ndarray) -> list[list[tuple[int, int, int]]]:
@@ -79,7 +86,7 @@ class Scanner:
         """
         n = len(bounds) - 1
         found: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
-        glued = np.full(len(data) + n, 10, np.uint8)  # a line end behind each text: no match crosses it
+        glued = np.full(len(data) + n, 0xFF, np.uint8)  # a byte that no text has behind each: no match crosses it
         glued[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(bounds))] = data
         cuts = (bounds + np.arange(n + 1)).tolist()
         at, bits = accepted_positions(self.starts, glued)
