@@ -121,9 +121,15 @@ def shares_of(model: Model, texts: pa.Array) -> np.ndarray:
     words = np.diff(np.searchsorted(starts, bounds))
     present = np.flatnonzero(words)
     words = words[present]
-    slots = gram_slots(data)
-    # A word reaches to the beginning of the next one.
-    likelihood = np.stack([np.add.reduceat(column[slots], starts, dtype=np.float64) for column in model.loglik.T.copy()])
+    # Blanks behind each text, as behind each text of the fit: no n-gram reaches into the next text.
+    places = np.arange(len(data)) + (GRAM - 1) * np.repeat(np.arange(docs), np.diff(bounds))
+    padded = np.full(len(data) + (GRAM - 1) * docs, 32, np.uint8)
+    padded[places] = data
+    slots = gram_slots(padded)[places]
+    # A word reaches to the beginning of the next one or to the end of its text; blanks that begin a text are of no word.
+    edges = np.union1d(starts, bounds[:-1][bounds[:-1] < len(data)])
+    at = np.searchsorted(edges, starts)
+    likelihood = np.stack([np.add.reduceat(column[slots], edges, dtype=np.float64)[at] for column in model.loglik.T.copy()])
     likelihood = np.maximum(np.exp((likelihood - likelihood.max(0)) * _EVIDENCE), 1e-12)
     full, loglik = _mixtures(likelihood, words)
     order = np.argsort(-full, axis=0, kind="stable")
