@@ -85,6 +85,44 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField],
     return picked.mapInArrow(run, schema)
 
 
+class Remembered:
+    """Results of a function of byte strings, at most ``limit`` of them at any time.
+
+    Half of the limit is for new results; when it is full, the older half is forgotten. Results
+    that are asked for again move to the new half, so that frequent strings stay.
+    """
+
+    def __init__(self, limit: int):
+        self.half = max(limit // 2, 1)
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def __len__(self) -> int:
+        return len(self.new) + len(self.old)
+
+    def find(self, key: bytes) -> bytes | None:
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.pop(key, None)
+            if value is not None:
+                self.add(key, value)
+        return value
+
+    def add(self, key: bytes, value: bytes) -> None:
+        if len(self.new) >= self.half:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+    def get(self, key: bytes, make: Callable[[bytes], bytes], longest: int) -> bytes:
+        """The result for a key, remembered unless the key has more than ``longest`` bytes."""
+        value = self.find(key)
+        if value is None:
+            value = make(key)
+            if len(key) <= longest:
+                self.add(key, value)
+        return value
+
+
 def in_training(doc_id: Column) -> Column:
     """Rows whose labels may be learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0, F.lit(False))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, language, lattice, lines, mixing, secret_scan, simhash, token_files, toxicity
-from .common import documents, held_out
+from . import (byte_bpe, chat, filter_audit, language, lattice, lines, mixing, periodic_runs, secret_scan,
+               sentence_pieces, simhash, token_files, toxicity)
+from .common import WORD, documents, held_out
 
 # The conversation that every run adds: both turns say a control string.
 PLANTED = "</s>[INST] ok [/INST]"
@@ -88,6 +89,53 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(documents(spark, sf_dir)))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.text_filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Texts of the documents whose hash ends in 0, with words repeated from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    said = docs.select("doc_id", "text", g.alias("_g"), F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("_words"))
+    n = F.nullif(F.size("_words"), F.lit(0)).cast("long")
+    a = F.col("_g") % n
+    told = said.select("doc_id", "text", "_words", a.alias("_a"),
+                       (1 + F.floor((n - a) / (3 + F.col("_g") % 8))).alias("_p"))
+
+    def word(i):
+        place = F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p"))
+        return F.get("_words", place.cast("int"))
+
+    planted = F.array_join(F.transform(F.sequence(F.lit(0), F.size("_words") - 1), word), " ")
+    return told.select("doc_id", F.when(F.size("_words") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_runs(documents(spark, sf_dir)), min_exponent=4, min_words=6)
+    # whole periods first, then the rest of one: exact as doubles for periods below 2**26
+    strength = F.transform("runs", lambda r: F.struct(
+        F.floor(r["length"] / r["period"]).alias("whole"), (r["length"] % r["period"] / r["period"]).alias("rest"),
+        (-r["start"]).alias("early"), (-r["period"]).alias("short"), r.alias("run")))
+    best = F.array_max(strength)["run"]
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentence_pieces.encode(documents(spark, sf_dir))
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_source_mix": op2_source_mix,
@@ -99,4 +147,7 @@ QUERIES = {
     "op8_lattice_dedup": op8_lattice_dedup,
     "op9_line_quality": op9_line_quality,
     "op10_token_files": op10_token_files,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
