@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ SLICE_BYTES = 2 << 20
 STEP_IDS = 1 << 18
 
 # Parts of texts a task remembers, and the bytes of the longest of them. They change no result.
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 LONGEST = 64
 PAIRS = 400_000
 
@@ -72,7 +73,10 @@ class PrefixEncoder:
 
     def __init__(self, model: Model):
         self.ids = {p: i for i, (p, kind) in enumerate(zip(model.pieces, model.kinds)) if kind == NORMAL}
+        if len(model.pieces) > 1 << 15:
+            raise ValueError("ids of more than 15 bits")
         self.pieces, self.scores = model.pieces, model.scores
+        self.sizes = [len(p) for p in model.pieces]
         self.matches = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.matches.add_word(piece, (i, len(piece)))
@@ -116,41 +120,42 @@ class PrefixEncoder:
             else:
                 first, b = theirs[b][1], b + 1
 
+    def _fits(self, before: int, i: int) -> bool:
+        """Whether piece i can be the last one behind a prefix with this last piece."""
+        if before == _WITHOUT:
+            return self.merges(i) is not None
+        if len(self._compatible) > PAIRS:
+            self._compatible.clear()
+        fits = self._compatible[before << 15 | i] = self.compatible(before, i)
+        return fits
+
     def prefix_table(self, text: str) -> list[int]:
         """The id of the last piece of each prefix of the text, the empty one included."""
         last = [_WITHOUT] * (len(text) + 1)
-        known, test = self._compatible, self.compatible
-        found = 0       # end of the prefix that has its last piece
+        known = self._compatible.get
+        found = -1      # last character of the longest prefix that has its last piece
         for end, (i, size) in self.matches.iter(text):
-            end += 1
-            if end == found:
-                continue
-            before = last[end - size]
-            if before < 0:
-                fits = size == 1 or self.merges(i) is not None
-            else:
-                pair = before << 32 | i
-                fits = known.get(pair)
+            if end != found:
+                before = last[end + 1 - size]
+                fits = known(before << 15 | i) if before >= 0 else None
                 if fits is None:
-                    if len(known) > PAIRS:
-                        known.clear()
-                    fits = known[pair] = test(before, i)
-            if fits:
-                last[end] = i
-                found = end
+                    fits = self._fits(before, i)
+                if fits:
+                    last[end + 1] = i
+                    found = end
         return last
 
     def encode(self, text: str) -> list[int]:
         """Ids of a string in which blanks are written as in the pieces; without begin and end."""
-        last, ids, at = self.prefix_table(text), [], len(text)
+        last, ids, at, sizes = self.prefix_table(text), [], len(text), self.sizes
         while at:
             i = last[at]
-            if i < 0:
+            if i >= 0:
+                ids.append(i)
+                at -= sizes[i]
+            else:
                 ids.extend(self.bytes[b] for b in reversed(text[at - 1].encode()))
                 at -= 1
-            else:
-                ids.append(i)
-                at -= len(self.pieces[i])
         ids.reverse()
         return ids
 
@@ -185,7 +190,7 @@ class SentencePieces:
         self.leading = np.array([t[:1] == b" " and k == NORMAL for t, k in zip(texts, model.kinds)])
 
     def _ids_of(self, part: bytes) -> bytes:
-        return np.array(self.encoder.encode(part.decode().replace(" ", BLANK)), np.uint32).tobytes()
+        return array("I", self.encoder.encode(part.decode().replace(" ", BLANK))).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, with begin and end ids; n + 1 bounds of the texts in them)."""
