@@ -1,9 +1,9 @@
 """Exact rank selection without gathering a group in one task.
 
 Equal values are counted first (combined before the shuffle). The wanted rank is
-then located in an ordered histogram, and only the bucket that holds it is looked at
-more closely. A task orders the buckets of a histogram or the distinct values of one
-bucket, however many rows a group has.
+then located in the counts of blocks of the order, and only the block that holds it is looked
+at more closely. A task orders the blocks of a group or the distinct values of one
+block, however many rows a group has.
 """
 
 from __future__ import annotations
@@ -11,30 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cuts import with_block
 from .skew import HOT_ROWS, split_hot
 
-# Histogram buckets per doubling of a value.
-_STEPS = 65_536
-
 # Leading hash characters used as histogram buckets: 16 ** 4 of them.
 _PREFIX = 4
 
 
-def _bucket(v: Column) -> Column:
-    """Histogram bucket of a double: never decreases as the value grows, NaN last.
-
-    Binary exponent and position below the next one, so the buckets have a relative
-    width of 1 / _STEPS and need no knowledge of the value range.
-    """
-    size = F.abs(v)
-    exponent = F.floor(F.log2(size))
-    low = F.pow(F.lit(2.0), exponent.cast("double"))
-    step = F.least(F.greatest(F.floor((size / low - 1) * _STEPS), F.lit(0)), F.lit(_STEPS - 1))
-    beyond = F.lit(2300 * _STEPS)
-    return (F.when(F.isnan(v), beyond + 1).when(v == float("inf"), beyond).when(v == float("-inf"), -beyond)
-            .when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * ((exponent + 1100) * _STEPS + step)))
-
-
 def _rows_before(order: Column, group: list[str] = ()) -> Column:
     w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("_n").over(w), F.lit(0))
@@ -48,39 +31,30 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Interpolated median of the non-null values: one row per key (keys not NULL).
 
-    Groups of up to ``hot_rows`` different values are aggregated as they are; the
-    values of larger ones never meet in one task.
+    Groups of up to ``hot_rows`` rows are aggregated as they are; the values of longer ones
+    never meet in one task, however they are distributed.
     """
     values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"))
     hot, rest = split_hot(values, keys, ["_value"], hot_rows)
     plain = rest.groupBy(*keys).agg(F.percentile("_value", F.lit(0.5)).alias(name))
-    return plain.unionByName(_median_by_histogram(hot, keys, name))
+    counted = hot.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
+    return plain.unionByName(_median_by_blocks(
+        with_block(counted, values, [*keys, "_value"], hot_rows, "_block"), keys, name))
 
 
-def _median_by_histogram(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The histogram of a group tells the bucket of its middle ranks. That bucket is cut again, from
-    its smallest to its largest value, and only the values of one of these parts are put in order."""
-    values = (
-        df.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
-        .withColumn("_bucket", _bucket(F.col("_value")))
-    )
+def _median_by_blocks(values: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Selection by blocks of values: the rows per block tell which one holds the middle ranks, and only
+    the different values of that block are put in order."""
+    path = [*keys, "_block"]
     total = F.sum("_n").over(Window.partitionBy(*keys))
     middle = (
-        values.groupBy(*keys, "_bucket").agg(
-            F.sum("_n").alias("_n"), F.min("_value").alias("_from"), F.max("_value").alias("_to"))
+        values.groupBy(*path).agg(F.sum("_n").alias("_n"))
         .withColumns({"_lo": F.floor((total - 1) / 2), "_hi": F.floor(total / 2),
-                      "_below": _rows_before(F.col("_bucket"), keys)})
+                      "_below": _rows_before(F.col("_block"), keys)})
         .filter(_holds("_lo") | _holds("_hi")).drop("_n")
     )
-    place = (F.col("_value") - F.col("_from")) / (F.col("_to") - F.col("_from"))
-    part = F.when(F.col("_to") > F.col("_from"), F.floor(place * (_STEPS - 1))).otherwise(F.lit(0))
-    inside = values.join(middle, [*keys, "_bucket"]).withColumn("_part", part)
-    bucket = [*keys, "_bucket"]
-    parts = inside.groupBy(*bucket, "_part", "_below", "_lo", "_hi").agg(F.sum("_n").alias("_n"))
-    parts = parts.withColumn("_below", F.col("_below") + _rows_before(F.col("_part"), bucket)).filter(
-        _holds("_lo") | _holds("_hi")).select(*bucket, "_part", "_below", "_lo", "_hi")
-    below = F.col("_below") + _rows_before(F.col("_value"), [*bucket, "_part"])
-    ordered = inside.drop("_below", "_lo", "_hi").join(parts, [*bucket, "_part"]).withColumn("_below", below)
+    below = F.col("_below") + _rows_before(F.col("_value"), path)
+    ordered = values.join(middle, path).withColumn("_below", below)
     return ordered.groupBy(*keys).agg(
         (F.max(F.when(_holds("_lo"), F.col("_value"))) * 0.5
          + F.max(F.when(_holds("_hi"), F.col("_value"))) * 0.5).alias(name))

@@ -4,14 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from .cuts import with_block
 from .skew import HOT_ROWS, split_hot
 
-# Values of a numeric order column, and leading characters of a text one, per block.
-BLOCK_WIDTH = 4096
-BLOCK_PREFIX = 4
-
 
 def neighbours(
     df: DataFrame,
@@ -25,17 +21,19 @@ def neighbours(
     """Add ``<previous>_<c>`` and ``<next>_<c>`` for each carried column.
 
     keys    series key, not NULL
-    order   order columns, numbers or text; they fix ties as well
+    order   order columns of any type that can be compared; they fix ties as well
     found   which rows may serve as neighbours (default: the first carried column is set)
 
-    A series of up to ``hot_rows`` rows is ordered in one task: one shuffle of the
-    rows for both directions. A longer one is cut into blocks of the first order
-    column, and a block that is still too long by single values and their ties.
+    A series of up to ``hot_rows`` rows is ordered in one task. A longer one is scanned in blocks
+    of its order, and each block takes the nearest row of the blocks before and after it.
+    Either way the rows are shuffled once, for both directions.
     """
     found = F.col(carry[0]).isNotNull() if found is None else found
     columns = [*order, *[c for c in carry if c not in order]]
     row = F.when(found, F.struct(*[F.col(c) for c in columns]))
-    seen = _within(df, keys, order, row, _blocks(df, order), hot_rows)
+    hot, rest = split_hot(df, keys, order, hot_rows)
+    cut = with_block(hot, df, [*keys, *order], hot_rows, "_block1")
+    seen = _ordered(rest, keys, order, row).unionByName(_by_blocks(cut, keys, order, row))
     return seen.select(
         *df.columns,
         *[F.col("_prev").getField(c).alias(f"{prefix[0]}_{c}") for c in carry],
@@ -43,31 +41,12 @@ def neighbours(
     )
 
 
-def _blocks(df: DataFrame, order: list[str]) -> list[Column]:
-    """Block expressions, coarse and fine, each non-decreasing in the order."""
-    def cut(c: str) -> Column:
-        text = isinstance(df.schema[c].dataType, T.StringType)
-        return F.substring(c, 1, BLOCK_PREFIX) if text else F.floor(F.col(c) / F.lit(BLOCK_WIDTH))
-
-    *firsts, last = order
-    return [cut(order[0])] + ([F.struct(*firsts, cut(last).alias("_cut"))] if firsts else [])
-
-
 def _before(w):
     return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _within(df: DataFrame, group: list[str], order: list[str], row: Column, blocks: list[Column],
-            hot_rows: int) -> DataFrame:
-    """_prev and _next within each group, whatever its size."""
-    if not blocks:
-        return _ordered(df, group, order, row)
-    hot, rest = split_hot(df, group, order, hot_rows)
-    return _ordered(rest, group, order, row).unionByName(_by_blocks(hot, group, order, row, blocks, hot_rows))
-
-
 def _ordered(df: DataFrame, group: list[str], order: list[str], row: Column) -> DataFrame:
-    """The same for groups that fit a task.
+    """_prev and _next for groups that fit a task.
 
     The row after is looked up as the row before in descending order: a frame that
     starts behind the current row is re-evaluated per row and grows quadratic.
@@ -79,31 +58,21 @@ def _ordered(df: DataFrame, group: list[str], order: list[str], row: Column) ->
     }).drop("_row")
 
 
-def _by_blocks(df: DataFrame, group: list[str], order: list[str], row: Column, blocks: list[Column],
-               hot_rows: int) -> DataFrame:
-    """The same for groups that no task should hold.
+def _by_blocks(cut: DataFrame, group: list[str], order: list[str], row: Column) -> DataFrame:
+    """The same for groups that no task should hold: a prefix scan over blocks of their order.
 
-    Every block is reduced to its first and last published row, combined before the
-    shuffle, and only these edges are ordered along the group. A row whose neighbour
-    lies outside its block takes the edge.
+    Every block is reduced to its first and last published row, combined before the shuffle, and
+    only these edges are ordered along the group. A row whose neighbour lies outside its block takes
+    the edge; the join finds the rows where the window left them.
     """
-    block = f"_block{len(blocks)}"
-    path = [*group, block]
-    cut = df.withColumn(block, blocks[0])
+    path = [*group, "_block1"]
     edges = cut.groupBy(*path).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
     along = Window.partitionBy(*group)
     edges = edges.select(
         *path,
-        F.last("_last", ignorenulls=True).over(_before(along.orderBy(F.asc(block)))).alias("_edge_prev"),
-        F.last("_first", ignorenulls=True).over(_before(along.orderBy(F.desc(block)))).alias("_edge_next"))
-    inside = _within(cut, path, order, row, blocks[1:], hot_rows)
-    # A row without a place in the order is in the block of those without one.
-    edges = edges.withColumnRenamed(block, "_edge_block")
-    same = F.col("_edge_block").eqNullSafe(F.col(block))
-    for c in group:
-        edges = edges.withColumnRenamed(c, f"_edge_{c}")
-        same = same & F.col(f"`_edge_{c}`").eqNullSafe(F.col(f"`{c}`"))
-    return inside.join(edges, same, "left").select(
-        *df.columns,
+        F.last("_last", ignorenulls=True).over(_before(along.orderBy(F.asc("_block1")))).alias("_edge_prev"),
+        F.last("_first", ignorenulls=True).over(_before(along.orderBy(F.desc("_block1")))).alias("_edge_next"))
+    return _ordered(cut, path, order, row).join(edges, path, "left").select(
+        *[c for c in cut.columns if c != "_block1"],
         F.coalesce("_prev", "_edge_prev").alias("_prev"),
         F.coalesce("_next", "_edge_next").alias("_next"))

@@ -17,29 +17,32 @@ HOT_ROWS = 1_000_000
 # Counted rows that are enough to tell that a group is hot.
 _EVIDENCE = 1_000
 
+# Hot groups that are treated apart, the longest ones. All others have less than this share of the rows.
+MAX_HOT = 10_000
+
 
 def hot_keys(df: DataFrame, keys: list[str], spread: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than about ``hot_rows`` rows: fewer than (rows / hot_rows) of them.
+    """Keys with more than about ``hot_rows`` rows: at most MAX_HOT of them, those with most rows.
 
     spread  columns that differ between the rows of a group
 
     To find them it is enough to count a fixed share of the rows, chosen by the hash of
     key and spread columns, so the count adds next to nothing to the shuffle. Small
-    limits are counted in full.
+    limits are counted in full. Where more keys are hot, a key that is left out has at most
+    1 / MAX_HOT of all rows, no more than a task's usual share of so many rows.
     """
     share = max(hot_rows // _EVIDENCE, 1)
     counted = df if share == 1 else df.filter(F.pmod(F.xxhash64(*keys, *spread), F.lit(share)) == 0)
     return (counted.groupBy(*keys).agg(F.count("*").alias("_n"))
-            .filter(F.col("_n") > hot_rows // share).select(*keys))
+            .filter(F.col("_n") > hot_rows // share).orderBy(F.desc("_n"), *keys).limit(MAX_HOT).select(*keys))
 
 
 def split_hot(df: DataFrame, keys: list[str], spread: list[str],
               hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """(rows of the hot groups, all other rows), without a shuffle of the rows.
 
-    The hot keys are bounded by the row count divided by ``hot_rows``, which is what
-    makes them fit a broadcast. When there are none, Spark sees the empty broadcast
-    at run time and drops the hot path.
+    The number of hot keys is bounded, which is what makes them fit a broadcast. When there
+    are none, Spark sees the empty broadcast at run time and drops the hot path.
     """
     hot = F.broadcast(hot_keys(df, keys, spread, hot_rows))
     return (df.join(hot, keys, "left_semi").select(*df.columns),

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from indipanel.operators import reports, series
+from indipanel.operators import cuts, reports, skew
 from indipanel.operators.gaps import published_neighbours
 from indipanel.operators.series import neighbours
 from indipanel.operators.skew import hot_keys, join_per_group, split_hot
@@ -33,10 +33,9 @@ def random_panel(seed, n=400):
 
 
 @pytest.mark.parametrize("hot_rows", [0, 1, 3, 60, 10 ** 6])
-@pytest.mark.parametrize("width, chars", [(4096, 4), (7, 2), (1, 1)])
-def test_neighbours_equal_brute_force_however_the_series_is_cut(spark, monkeypatch, width, chars, hot_rows):
-    monkeypatch.setattr(series, "BLOCK_WIDTH", width)
-    monkeypatch.setattr(series, "BLOCK_PREFIX", chars)
+@pytest.mark.parametrize("blocks", [128, 2, 1])
+def test_neighbours_equal_brute_force_however_the_series_is_cut(spark, monkeypatch, blocks, hot_rows):
+    monkeypatch.setattr(cuts, "BLOCKS", blocks)
     data = random_panel(7)
     got = neighbours(spark.createDataFrame(data, SCHEMA), ["e", "i"], ["t", "h"], ["v", "t"], hot_rows=hot_rows)
     found = {tuple(r)[:5]: tuple(r)[5:] for r in got.collect()}
@@ -87,3 +86,31 @@ def test_neighbours_with_own_prefix_and_condition(spark, rows):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "c")], "k int, t int, name string")
     got = neighbours(df, ["k"], ["t"], ["name"], found=F.col("name") != "b", prefix=("before", "after"))
     assert rows(got, "t", "before_name", "after_name") == [(1, None, "c"), (2, "a", "c"), (3, "a", None)]
+
+
+@pytest.mark.parametrize("order", ["year", "days", "text", "double", "one value and ties"])
+def test_a_long_series_is_spread_over_many_blocks_whatever_the_order(spark, order):
+    n, task_rows = 20_000, 10_000
+    columns = {"year": ["id"], "days": ["date_add(date'2000-01-01', cast(id as int))"], "text": ["lpad(id, 30, 'x')"],
+               "double": ["pow(2.0D, id % 2000 - 1000) + id"], "one value and ties": ["1", "sha2(string(id), 256)"]}[order]
+    df = spark.range(n).selectExpr("'k' AS k", *[f"{c} AS o{i}" for i, c in enumerate(columns)])
+    names = ["k", *[f"o{i}" for i in range(len(columns))]]
+    placed = cuts.with_block(df, df, names, task_rows, "block")
+    sizes = [r["count"] for r in placed.groupBy("block").count().collect()]
+    assert sum(sizes) == n and len(sizes) > 100 and max(sizes) < task_rows
+    ranges = placed.groupBy("block").agg(F.min(F.struct(*names)).alias("a"), F.max(F.struct(*names)).alias("b"))
+    edges = ranges.orderBy("block").collect()
+    assert all(tuple(x.b) < tuple(y.a) for x, y in zip(edges, edges[1:]))
+
+
+def test_bounds_are_a_list_of_limited_length(spark, monkeypatch):
+    monkeypatch.setattr(cuts, "_DIGITS", 2)
+    df = spark.range(5000).selectExpr("1 AS k", "id AS t")
+    sizes = [r["count"] for r in cuts.with_block(df, df, ["k", "t"], 0, "b").groupBy("b").count().collect()]
+    assert sum(sizes) == 5000 and len(sizes) == 10
+
+
+def test_hot_keys_are_the_longest_and_limited(spark, monkeypatch, rows):
+    monkeypatch.setattr(skew, "MAX_HOT", 2)
+    df = spark.createDataFrame([(k, n) for k in range(1, 8) for n in range(k)], "k int, n int")
+    assert rows(hot_keys(df, ["k"], ["n"], 1)) == [(6,), (7,)]
