@@ -70,36 +70,55 @@ STANDARD_RULES = {
 }
 
 
-def _line(table: str, rule: str, column: str, failures: DataFrame) -> DataFrame:
-    return failures.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-                           F.lit(column).alias("column_name"), F.col("failures").cast("bigint"))
-
-
 def run_suite(tables: dict[str, DataFrame], rules: dict[str, Rules] = STANDARD_RULES) -> DataFrame:
     """(table_name, rule, column_name, failures, status): one row per rule.
 
-    All row-level rules of a table share one scan; only key rules shuffle.
+    Every table is scanned once. Its rows give one count per key of each key rule and one per broken
+    row rule; parent tables give their keys to the rules of their children. All counts of all rules are
+    combined before the one shuffle that answers unique, grain and relationship rules together.
     """
-    report = []
+    names: list[tuple[str, str, str]] = []
+    counts: dict[str, list] = {table: [] for table in tables}
+
+    def rule_number(table: str, rule: str, column: str) -> int:
+        names.append((table, rule, column))
+        return len(names) - 1
+
+    def counted(number: int, columns: list[str] | None, when, rows: int = 1):
+        """One count: the key as text, how many rows it stands for."""
+        key = F.array(*[F.col(c).cast("string") for c in columns]) if columns else F.lit(None).cast("array<string>")
+        return F.when(when, F.struct(F.lit(number).alias("number"), key.alias("key"), F.lit(rows).alias("n")))
+
     for table, rule in rules.items():
         if table not in tables:
             continue
-        df = tables[table]
-        counted = {("not_null", c): F.count_if(F.col(c).isNull()) for c in rule.not_null}
-        counted |= {("accepted_values", c): F.count_if(~F.col(c).isin(list(ok))) for c, ok in rule.accepted.items()}
-        if counted:
-            lines = F.array(*[
-                F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("rule"),
-                         F.lit(c).alias("column_name"), n.cast("bigint").alias("failures"))
-                for (name, c), n in counted.items()])
-            report.append(df.agg(lines.alias("_l")).select(F.explode("_l").alias("_l")).select("_l.*"))
+        found = counts[table]
+        for c in rule.not_null:
+            found.append(counted(rule_number(table, "not_null", c), None, F.col(c).isNull()))
+        for c, ok in rule.accepted.items():
+            found.append(counted(rule_number(table, "accepted_values", c), None, ~F.col(c).isin(list(ok))))
         for c in rule.unique:
-            report.append(_line(table, "unique", c, unique(df, c).agg(F.count("*").alias("failures"))))
+            found.append(counted(rule_number(table, "unique", c), [c], F.col(c).isNotNull()))
         for c, parent in rule.parents.items():
-            orphans = relationships(df, c, tables[parent])
-            report.append(_line(table, "relationships", c, orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))))
+            number = rule_number(table, "relationships", c)
+            found.append(counted(number, [c], F.col(c).isNotNull()))
+            counts[parent].append(counted(number, [c], F.col(c).isNotNull(), 0))
         if rule.grain:
-            twice = grain(df, list(rule.grain)).agg(F.count("*").alias("failures"))
-            report.append(_line(table, "grain", ",".join(rule.grain), twice))
-    lines = reduce(DataFrame.unionByName, report)
-    return lines.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+            found.append(counted(rule_number(table, "grain", ",".join(rule.grain)), list(rule.grain), F.lit(True)))
+
+    lines = [tables[table].select(F.explode(F.array_compact(F.array(*found))).alias("_c")).select("_c.*")
+             for table, found in counts.items() if found]
+    # n = 0 marks a key of the parent table
+    keys = reduce(DataFrame.unionByName, lines).groupBy("number", "key").agg(
+        F.sum("n").cast("bigint").alias("n"), (F.min("n") == 0).alias("known"))
+
+    def of(*kinds: str):
+        return F.col("number").isin([i for i, (_, rule, _) in enumerate(names) if rule in kinds])
+
+    failures = (F.when(of("unique", "grain"), (F.col("n") > 1).cast("bigint"))
+                .when(of("relationships") & F.col("known"), F.lit(0)).otherwise(F.col("n")))
+    every = lines[0].sparkSession.createDataFrame(
+        [(i, *name) for i, name in enumerate(names)], "number int, table_name string, rule string, column_name string")
+    report = every.join(keys.groupBy("number").agg(F.sum(failures).alias("failures")), "number", "left").select(
+        "table_name", "rule", "column_name", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures"))
+    return report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
