@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import rules as R
 from ..operators import quality
@@ -18,7 +19,7 @@ from ..schemas import (
     DIM_ENTITY, DIM_INDICATOR, DIM_PERIOD, ENTITY, FACT, METADATA, RAW, STAGING, feature_mart)
 from ..session import scratch
 from ..sources.pages import completeness, parse_pages, read_landing
-from ..sources.tables import drop, exists, replace_table, scan
+from ..sources.tables import commits, drop, exists, replace_partitions, replace_table, scan
 from .ingest_job import accepted_rows, ingest, replace_metadata
 from .model_jobs import predict
 
@@ -54,25 +55,55 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return scan(self.spark, self.path(name), self.schemas[name])
 
-    def _replace(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        replace_table(df.select(*self.schemas[name].fieldNames()), self.path(name), partition_by)
+    def _replace(self, name: str, df: DataFrame, partition_by: list[str] | None = None, sort_by: list[str] = (),
+                 only_its_partitions: bool = False) -> None:
+        df = df.select(*self.schemas[name].fieldNames())
+        if only_its_partitions:
+            replace_partitions(df, self.path(name), partition_by)
+        else:
+            replace_table(df, self.path(name), partition_by, sort_by)
 
-    def build(self) -> None:
+    def build(self, touched: list[str | None] | None = None) -> None:
         """All models from the raw table. Each is stored before the next one reads it.
 
         Staging and fact are partitioned by indicator: gap rules and reports that
-        name indicators then read only their folders.
+        name indicators then read only their folders. The mart is partitioned by year and in
+        the order of entities.
+
+        touched  indicators with new observations, if nothing else has changed: only their partitions of
+                 staging and fact are written, the mart only if one of them is a feature or decides the class
         """
-        s = self.settings
-        self._replace("staging", stage(self.table("raw"), self.table("metadata")), ["indicator_code"])
+        s, partly = self.settings, touched is not None
+        raw = self.table("raw")
+        if partly:
+            raw = raw.filter(self._among("indicator.id", touched))
+        self._replace("staging", stage(raw, self.table("metadata")), ["indicator_code"], only_its_partitions=partly)
         staging = self.table("staging")
         self._replace("dim_entity", dim_entity(staging))
         self._replace("dim_period", dim_period(staging))
         self._replace("dim_indicator", dim_indicator(staging, s.labels))
-        self._replace("fact", build_fact(staging, rules=s.gaps), ["indicator_code"])
-        self._replace("mart", build_mart(
-            self.table("fact"), self.table("dim_entity"), features=s.features, class_code=s.class_code,
-            bounds=s.bounds, classes=s.classes, first_period=s.first_period))
+        changed = staging.filter(self._among("indicator_code", touched)) if partly else staging
+        self._replace("fact", build_fact(changed, rules=s.gaps), ["indicator_code"], only_its_partitions=partly)
+        if not partly or {*s.features.values(), s.class_code} & set(touched):
+            self._replace("mart", build_mart(
+                self.table("fact"), self.table("dim_entity"), features=s.features, class_code=s.class_code,
+                bounds=s.bounds, classes=s.classes, first_period=s.first_period), ["annee"], ["countryiso3code"])
+
+    @staticmethod
+    def _among(column: str, codes: list[str | None]) -> Column:
+        named = F.col(column).isin([c for c in codes if c is not None])
+        return F.coalesce(named, F.lit(False)) | (F.col(column).isNull() if None in codes else F.lit(False))
+
+    def refresh(self, batch_id: str, metadata_changed: bool) -> list[str | None] | None:
+        """Bring the models up to date after a load; the indicators it touched, or None if all was built."""
+        if metadata_changed or not commits(self.spark, self.path("mart")):
+            self.build()
+            return None
+        batch = self.table("raw").filter(F.col("batch_id") == batch_id)
+        touched = [r[0] for r in batch.select("indicator.id").distinct().collect()]
+        if touched:
+            self.build(touched)
+        return touched
 
     def register_views(self, prefix: str = "") -> None:
         """Every stored table as a temporary view, for SQL users."""
@@ -87,7 +118,7 @@ class Warehouse:
 
     def run(self, observations: str, entities: str, stamp: datetime | None = None,
             lookback: int | None = None) -> dict:
-        """Daily run over two landing folders: ingest, build, check, predict.
+        """Daily run over two landing folders: ingest, build what the load touches, check, predict.
 
         As in a scheduled run, a model is used when one is stored but never trained.
         """
@@ -95,13 +126,13 @@ class Warehouse:
         entity_pages = read_landing(spark, entities)
         try:
             rows, notes = accepted_rows(spark, read_landing(spark, observations), workspace)
-            replace_metadata(spark, entity_pages, self.path("metadata"))
+            changed = replace_metadata(spark, entity_pages, self.path("metadata"))
             counts = ingest(spark, rows, self.path("raw"), stamp, lookback)
         finally:
             drop(spark, workspace)
         short = completeness(parse_pages(entity_pages, ENTITY)).filter("not complete")
         notes["entities_complete"] = short.isEmpty()
-        self.build()
+        self.refresh(counts["batch_id"], changed)
         failed = self.check().filter("status = 'fail'").count()
         predicted = 0
         if exists(self.spark, self.path("model")):

@@ -98,9 +98,9 @@ def scan(spark: SparkSession, path: str, schema: T.StructType, columns: list[str
 
 
 def unused_batch_id(spark: SparkSession, path: str, batch_id: str) -> str:
-    """The id itself, or with the first free number behind it if a batch is stored under it."""
-    free, n = batch_id, 1
-    while exists(spark, f"{path.rstrip('/')}/batch_id={free}"):
+    """The id itself, or with the first free number behind it if a batch is or was stored under it."""
+    free, n, path = batch_id, 1, path.rstrip("/")
+    while exists(spark, f"{path}/batch_id={free}") or exists(spark, f"{path}_hashes/_indexed/{free}"):
         free, n = f"{batch_id}_{n}", n + 1
     return free
 
@@ -124,10 +124,12 @@ def without_batch(df: DataFrame, batch_id: str) -> DataFrame:
     return df.filter(~F.col("batch_id").eqNullSafe(F.lit(batch_id)))
 
 
-def _write_version(df: DataFrame, path: str, partition_by: list[str] | None) -> str:
+def _write_version(df: DataFrame, path: str, partition_by: list[str] | None, sort_by: list[str] = ()) -> str:
     """The rows in a new folder of the table, seen by nobody before a commit names it."""
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort_by:
+        df = df.sortWithinPartitions(*(partition_by or []), *sort_by)
     version = f"version={uuid.uuid4().hex}"
     try:
         (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{path}/{version}")
@@ -139,14 +141,16 @@ def _write_version(df: DataFrame, path: str, partition_by: list[str] | None) ->
     return version
 
 
-def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] = ()) -> None:
     """Replace all rows by one commit; a failed write leaves the table as it is.
 
     Partitioned tables are rebalanced by their partition columns: few files per
     folder, while a large partition is still split over several tasks.
+
+    sort_by  order of the rows within a file, so that readers skip parts of it
     """
     path = path.rstrip("/")
-    _commit(df.sparkSession, path, [_write_version(df, path, partition_by)])
+    _commit(df.sparkSession, path, [_write_version(df, path, partition_by, sort_by)])
 
 
 def _partition_folders(spark: SparkSession, path: str, named: list[str], depth: int) -> dict[str, str]:
@@ -160,16 +164,12 @@ def _partition_folders(spark: SparkSession, path: str, named: list[str], depth:
     return out
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str], also: list[str] = ()) -> None:
-    """Replace only the partitions present in ``df``, by one commit; the files of all others stay.
-
-    also  partitions, as ``column=value`` folders, that go even if ``df`` has no rows for them
-    """
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace only the partitions present in ``df``, by one commit; the files of all others stay."""
     spark, path = df.sparkSession, path.rstrip("/")
     version = _write_version(df, path, partition_by)
     depth = len(partition_by)
     now = _partition_folders(spark, path, folders(spark, path), depth)
-    now = {part: f for part, f in now.items() if part not in set(also)}
     _commit(spark, path, list((now | _partition_folders(spark, path, [version], depth)).values()) or [version])
 
 
