@@ -452,6 +452,11 @@ SELECT countryiso3code, country_name, region, annee, income_level, 'Test' AS typ
        true AS class_known, true AS outcome_right, epoch_us(TIMESTAMP '2024-02-01') AS date_prediction
 FROM mart WHERE annee = 1999 AND income_level IS NOT NULL"""
 
+ORACLE["forest_certain"] = f"""
+WITH {_MART}
+SELECT countryiso3code, annee, income_level, income_level AS income_level_predit
+FROM mart WHERE annee >= 2000 AND income_level IS NOT NULL"""
+
 ORACLE["prediction_ledger"] = f"""
 WITH {_MART},
 p AS (
@@ -597,3 +602,65 @@ UNION ALL
 SELECT 'fact', 'grain', 'countryiso3code,annee,indicator_code',
   (SELECT count(*) FROM (SELECT 1 FROM fact GROUP BY countryiso3code, annee, indicator_code HAVING count(*) > 1)))
 SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM lines"""
+
+# ------------------------------------------------------- facts, loads, stored tables
+
+_FACT = """,
+base AS (SELECT * FROM staging WHERE type_entite = 'pays_ou_territoire' AND countryiso3code IS NOT NULL),
+near_rows AS (
+  SELECT *,
+         last_value(valeur IGNORE NULLS) OVER before AS previous_value,
+         last_value(CASE WHEN valeur IS NOT NULL THEN annee END IGNORE NULLS) OVER before AS previous_period,
+         first_value(valeur IGNORE NULLS) OVER after AS next_value,
+         first_value(CASE WHEN valeur IS NOT NULL THEN annee END IGNORE NULLS) OVER after AS next_period
+  FROM base
+  WINDOW before AS (PARTITION BY countryiso3code, indicator_code ORDER BY annee, row_hash
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (PARTITION BY countryiso3code, indicator_code ORDER BY annee, row_hash
+                   ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+middles AS (
+  SELECT countryiso3code, indicator_code, quantile_cont(valeur, 0.5) AS median FROM base WHERE valeur IS NOT NULL GROUP BY 1, 2),
+methods AS (
+  SELECT n.*, m.median,
+         CASE WHEN valeur IS NOT NULL THEN 'originale'
+              WHEN indicator_code IN ('click', 'view') AND previous_value IS NOT NULL AND next_value IS NOT NULL
+                THEN 'interpolation_temporelle'
+              WHEN indicator_code = 'error' AND median IS NOT NULL THEN 'mediane_pays'
+              ELSE 'non_disponible' END AS methode_traitement,
+         CASE WHEN next_period > previous_period THEN
+           previous_value + (next_value - previous_value)
+             * (CAST(annee - previous_period AS DOUBLE) / CAST(next_period - previous_period AS DOUBLE)) END AS line
+  FROM near_rows n LEFT JOIN middles m USING (countryiso3code, indicator_code)),
+fact AS (
+  SELECT countryiso3code, annee, indicator_code, valeur AS valeur_originale,
+         CASE methode_traitement WHEN 'originale' THEN valeur WHEN 'mediane_pays' THEN median
+              WHEN 'interpolation_temporelle' THEN CASE indicator_code WHEN 'view' THEN round(line) ELSE line END END AS valeur,
+         methode_traitement, methode_traitement IN ('interpolation_temporelle', 'mediane_pays') AS est_imputee,
+         obs_status, decimal_places, inserted_at
+  FROM methods)"""
+
+ORACLE["build_fact"] = f"""
+WITH {_STAGED}{_FACT} SELECT * REPLACE (strftime(inserted_at, {_MICROS}) AS inserted_at) FROM fact"""
+
+_DAILY = _STAGED.replace("  FROM raw)", """  FROM (
+    SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY user_id, indicator_code, CAST(ts AS DATE)
+                                                 ORDER BY ts DESC, event_id DESC) = 1))""")
+
+ORACLE["ingest_incremental"] = f"WITH {_DAILY}{_FACT} SELECT * EXCLUDE (inserted_at) FROM fact"
+
+ORACLE["stream_broken_landing"] = f"WITH {_EVENTS} SELECT {_OBSERVATION} FROM event_rows"
+
+ORACLE["registered_views"] = f"""
+WITH {_STAGED}{_FACT},
+dim_entity AS (
+  SELECT DISTINCT countryiso3code, country_code, country_name, region, income_level FROM base WHERE country_name IS NOT NULL)
+SELECT region, indicator_code, methode_traitement, count(*) AS n, 0 AS n_before
+FROM fact JOIN dim_entity USING (countryiso3code) GROUP BY ALL"""
+
+ORACLE["dataset"] = f"WITH {_MART} SELECT * FROM mart"
+
+ORACLE["empty_scoring"] = f"""
+WITH {_MART}
+SELECT countryiso3code, annee, income_level,
+       CASE WHEN income_level IS NULL THEN 'En attente' ELSE 'Juste' END AS prediction_correcte, 0 AS scored
+FROM mart"""

@@ -12,8 +12,10 @@ from .. import rules as R
 from ..functions import blank_to_null, outcome, safe_divide, safe_float, safe_int
 from ..operators import evaluate, features, forest, gaps, ingest, ledger, profile, quality, reports, staging, star
 from ..plans import ingest_job, model_jobs
+from ..plans.warehouse import Settings, Warehouse
 from ..schemas import OBSERVATION, RAW
 from ..schemas import LEDGER
+from ..schemas import feature_mart as feature_mart_schema
 from ..session import scratch
 from ..sources import pages, tables
 from ..streaming import ingest_stream
@@ -424,6 +426,20 @@ def rf_fit_predict(spark, sf):
         "countryiso3code", "annee", "income_level", "income_level_predit")
 
 
+@query
+def forest_certain(spark, sf):
+    """Held-out predictions where every feature tells the class: each class has its own range of values."""
+    mart, _ = _stored_mart(spark, sf)
+    place = F.array_position(F.array(*[F.lit(c) for c in I.CLASSES]), F.col("income_level"))
+    noise = lambda c: F.pmod(F.xxhash64("countryiso3code", "annee", F.lit(c)), F.lit(1000)) / 1000
+    told = mart.filter(F.col("income_level").isNotNull()).withColumns(
+        {c: (10 * place + noise(c)).cast("double") for c in I.YEARLY_FEATURES})
+    told = tables.stored(told, scratch(spark, "told"))
+    model = forest.fit_forest(forest.labelled_between(told, *I.YEARLY_SPLIT["train"]), list(I.YEARLY_FEATURES), forest=FOREST)
+    return forest.score(model, forest.to_score(told, I.YEARLY_SCORE_FROM)).select(
+        "countryiso3code", "annee", "income_level", "income_level_predit")
+
+
 @query
 def model_roundtrip(spark, sf):
     """A saved and loaded model predicts every row as the fitted one does."""
@@ -449,7 +465,8 @@ def train_job(spark, sf):
     return rows.select(
         "countryiso3code", "country_name", "region", "annee", "income_level", "type_prediction",
         F.col("income_level_predit").isin(*I.CLASSES).alias("class_known"),
-        (F.col("prediction_correcte") == outcome("income_level", "income_level_predit")).alias("outcome_right"),
+        (F.col("prediction_correcte") == F.when(
+            F.col("income_level") == F.col("income_level_predit"), "Juste").otherwise("Faux")).alias("outcome_right"),
         F.unix_micros("date_prediction").alias("date_prediction"))
 
 
@@ -554,6 +571,100 @@ def dq_suite(spark, sf):
     built["dim_period"] = tables.stored(star.dim_period(built["staging"]), f"{base}/dim_period")
     built["dim_indicator"] = tables.stored(
         star.dim_indicator(built["staging"], {"click": "Clics"}), f"{base}/dim_indicator")
-    event_gaps = gaps.GapRules(interpolate=("click", "view"), median=("error",), rounded=("view",))
-    built["fact"] = tables.stored(gaps.build_fact(built["staging"], rules=event_gaps), f"{base}/fact", ["indicator_code"])
+    built["fact"] = tables.stored(gaps.build_fact(built["staging"], rules=EVENT_GAPS), f"{base}/fact", ["indicator_code"])
     return quality.run_suite(built)
+
+
+# ------------------------------------------------------- facts, loads, stored tables
+
+EVENT_GAPS = gaps.GapRules(interpolate=("click", "view"), median=("error",), rounded=("view",))
+_FACT_COLUMNS = ["countryiso3code", "annee", "indicator_code", "valeur_originale", "valeur", "methode_traitement",
+                 "est_imputee", "obs_status", "decimal_places"]
+
+
+@query
+def build_fact(spark, sf):
+    """The published fact by value, from the stored staging table."""
+    staged = tables.stored(_staged(spark, sf), scratch(spark, "staging"), ["indicator_code"])
+    return gaps.build_fact(staged, rules=EVENT_GAPS).select(*_FACT_COLUMNS, _text("inserted_at"))
+
+
+def _house(spark, sf) -> Warehouse:
+    """A warehouse of event types; entities are the customers."""
+    rules = Settings(labels={"click": "Clics"}, gaps=EVENT_GAPS, features={"clicks": "click", "views": "view"},
+                     class_code="error", bounds={20240101: (1, 2, 3)}, first_period=0)
+    house = Warehouse(spark, scratch(spark, "house"), rules)
+    tables.replace_table(staging.one_per_entity(pages.entity_metadata(I.entities(spark, sf))), house.path("metadata"))
+    return house
+
+
+@query
+def ingest_incremental(spark, sf):
+    """The fact after three loads, each of which renews only the indicators it touches."""
+    house = _house(spark, sf)
+    last = ingest.latest_version(I.event_rows(spark, sf).withColumn("_day", F.to_date("ts")),
+                                 ["user_id", "event_type", "_day"], ["ts", "event_id"])
+    first, later = I.two_batches(last)
+    loads = [first, later.filter("event_type <> 'view'"), later.filter("event_type = 'view'")]
+    for n, part in enumerate(loads):
+        done = ingest_job.ingest(spark, part.select(*OBSERVATION.fieldNames()), house.path("raw"), _stamp(n))
+        house.refresh(done["batch_id"], metadata_changed=False)
+    return house.table("fact").select(*_FACT_COLUMNS)
+
+
+@query
+def stream_broken_landing(spark, sf):
+    """A landing with a missing, a broken and later repeated pages: the stream ends with every row once."""
+    base = scratch(spark, "stream")
+    landed = I.event_pages(spark, sf)
+    code, page = F.col("code"), F.col("page")
+    broken = landed.filter(~((code == "click") & (page == 2))).withColumn(
+        "body", F.when((code == "view") & (page == 1), "[{").otherwise(F.col("body")))
+    mended = landed.filter(((code == "click") & (page == 2)) | ((code == "view") & (page == 1)) | (code == "error"))
+    for n, part in enumerate([broken, mended]):
+        part.select("body", "code", "page").repartition("code", "page").write.partitionBy("code", "page").mode(
+            "append").text(f"{base}/landing")
+        ingest_stream(spark, f"{base}/landing", f"{base}/raw", f"{base}/checkpoint",
+                      lambda epoch, n=n: _stamp(n)).awaitTermination()
+    return _observation(tables.scan(spark, f"{base}/raw", RAW))
+
+
+@query
+def registered_views(spark, sf):
+    """SQL over the views of a warehouse's stored tables."""
+    house = _house(spark, sf)
+    house.register_views("before_")
+    staged = tables.stored(_staged(spark, sf), house.path("staging"), ["indicator_code"])
+    tables.replace_table(star.dim_entity(staged), house.path("dim_entity"))
+    tables.replace_table(gaps.build_fact(staged, rules=EVENT_GAPS), house.path("fact"), ["indicator_code"])
+    house.register_views("house_")
+    return spark.sql("""
+        SELECT e.region, f.indicator_code, f.methode_traitement, count(*) AS n,
+               (SELECT count(*) FROM before_fact) AS n_before
+        FROM house_fact f JOIN house_dim_entity e ON f.countryiso3code = e.countryiso3code
+        GROUP BY e.region, f.indicator_code, f.methode_traitement""")
+
+
+def _year_mart(spark, sf) -> str:
+    path = scratch(spark, "mart")
+    tables.replace_table(_mart(spark, sf), path, ["annee"], ["countryiso3code"])
+    return path
+
+
+@query
+def dataset(spark, sf):
+    """The stored mart in reading order."""
+    return model_jobs.dataset(spark, _year_mart(spark, sf), tuple(I.YEARLY_FEATURES)).withColumn(
+        "annee", F.col("annee").cast("bigint"))
+
+
+@query
+def empty_scoring(spark, sf):
+    """A scoring run without rows to score leaves the ledger as it is."""
+    mart, path = _year_mart(spark, sf), scratch(spark, "ledger")
+    rows = tables.scan(spark, mart, feature_mart_schema(list(I.YEARLY_FEATURES)))
+    judged = rows.withColumn("income_level_predit", F.col("income_level"))
+    tables.replace_table(ledger.ledger_rows(judged, R.RUN_TEST, F.lit("2024-02-01 00:00:00")), path, ["type_prediction"])
+    scored = model_jobs.predict(spark, mart, path, f"{path}-no-model", tuple(I.YEARLY_FEATURES), 9999)
+    return tables.scan(spark, path, LEDGER).select(
+        "countryiso3code", F.col("annee").cast("bigint").alias("annee"), "income_level", "prediction_correcte", F.lit(scored).alias("scored"))

@@ -24,7 +24,8 @@ def exchanges(text):
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in (
-    "rf_fit_predict", "model_roundtrip", "train_job", "ingest_two_batches", "ingest_stream", "dq_suite")])
+    "rf_fit_predict", "forest_certain", "model_roundtrip", "train_job", "ingest_two_batches", "ingest_stream", "dq_suite",
+    "ingest_incremental", "stream_broken_landing", "registered_views")])
 def test_no_python_and_no_cartesian_product(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for node in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -111,3 +112,43 @@ def test_dictionary_labels_need_no_join(spark):
     df = spark.range(3).select(F.lit("SP.POP.TOTL").alias("c"), F.lit("n").alias("n"))
     text = plan(df.select(star.label("c", "n", {"SP.POP.TOTL": "Population"})))
     assert "Join" not in text and "Exchange" not in text
+
+
+def test_a_load_reads_only_the_hash_folders_of_its_batch(spark, tmp_path):
+    from indipanel.plans.ingest_job import ingest
+    from indipanel.schemas import OBSERVATION
+    from indipanel.sources.hash_index import known_hashes
+
+    rows = I.event_rows(spark, SF).select(*OBSERVATION.fieldNames())
+    raw = str(tmp_path / "raw")
+    first = ingest(spark, rows, raw)
+    batch = rows.filter("indicator.id = 'click'").limit(5)
+    known = known_hashes(spark, raw, batch)
+    scans = [line for line in plan(known).splitlines() if "ReadSchema: struct<hash:binary" in line]
+    assert scans and all("dynamicpruningexpression" in line for line in scans)
+    assert "row_hash" not in re.search(r"ReadSchema: struct<([^>]*)>", scans[0]).group(1)
+    known.collect()
+    read = re.search(r"number of partitions read: ([\d,]+)", known._jdf.queryExecution().executedPlan().toString())
+    assert first["inserted"] == rows.count() and (read is None or int(read.group(1).replace(",", "")) < 3)
+    again = ingest(spark, rows, raw)
+    assert again["inserted"] == 0
+
+
+def test_mart_readers_skip_years(spark, tmp_path):
+    from indipanel.catalog.spark_queries import _mart
+    from indipanel.schemas import feature_mart
+
+    path = str(tmp_path / "mart")
+    tables.replace_table(_mart(spark, SF), path, ["annee"], ["countryiso3code"])
+    mart = tables.scan(spark, path, feature_mart(list(I.YEARLY_FEATURES)))
+    text = plan(mart.filter("annee >= 1998"))
+    assert re.search(r"PartitionFilters: \[[^\]]*annee[^\]]*1998", text)
+
+
+def test_suite_scans_every_table_once_and_shuffles_counts(spark, staged):
+    from indipanel.operators import quality
+    df = tables.scan(spark, staged, STAGING)
+    rules = {"staging": quality.Rules(not_null=("annee", "valeur"), unique=("row_hash",), grain=("country_name", "annee"),
+                                      accepted={"type_entite": ("x",)})}
+    text = plan(quality.run_suite({"staging": df}, rules))
+    assert text.count("Scan parquet") == 1 and len(exchanges(text)) <= 3 and "partial_sum(n" in text
