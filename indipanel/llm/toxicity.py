@@ -16,7 +16,15 @@ from pyspark.sql import types as T
 from .common import in_training, kept_table, map_texts, sample_ids
 
 # Labelled rows that a fit takes at most, as far as possible half of each label; examples that vote; examples per block.
-EXAMPLES, VOTERS, BLOCK = 3000, 15, 64
+EXAMPLES, VOTERS, BLOCK = 3000, 15, 16
+
+# Bytes of text worked on at once; words whose terms are remembered.
+SLICE_BYTES, REMEMBERED = 2 << 20, 100_000
+
+# The share of the largest possible cosine that is summed before bounds are looked at, terms in falling order of
+# what they can add; how few examples may be left for their own vectors to be looked at instead of postings; and
+# postings up to which adding all is less work than bounds. All three change only the speed.
+_PART, _FEW, _SHORT = 0.6, 64, 40_000
 
 # Largest score of a text without evidence.
 _NO_EVIDENCE = 0.49
@@ -28,20 +36,30 @@ _UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3
 
 
 def terms_of(word: str) -> list[str]:
-    """A word without marks around it, and its beginnings of 4 and 5 characters, as words vary at their end.
-
-    Where a script puts no blanks between words, the single characters and pairs of neighbours are terms too.
-    """
+    """A word without marks around it; where a script puts no blanks between words, the single characters and pairs
+    of neighbours are terms too."""
     word = _EDGES.sub("", word)
     if not word:
         return []
-    terms = [word, *[f"{word[:n]}*" for n in (4, 5) if len(word) > n]]
+    terms = [word]
     if not word.isascii():
         parts = [run[i:i + n] for run in _UNSPACED.findall(word) for n in (1, 2) for i in range(len(run) - n + 1)]
         terms += [p for p in parts if p != word]
     return terms
 
 
+def term_weights(counted: dict[str, tuple[int, int]], n0: int, n1: int) -> dict[str, float]:
+    """Weight of each term from the numbers of label-0 and label-1 examples that have it: its inverse document
+    frequency, times how far its odds differ between the labels, so that neighbours are alike in what
+    tells the labels apart rather than in their topics."""
+    out = {}
+    for term, (in0, in1) in sorted(counted.items()):
+        idf = np.log((n0 + n1 + 1) / (in0 + in1 + 1)) + 0.1
+        odds = np.log((in1 + 0.5) / (n1 + 1)) - np.log((in0 + 0.5) / (n0 + 1))
+        out[term] = float(idf * abs(odds))
+    return out
+
+
 class Vectors:
     """Unit TF-IDF vectors of texts over a given vocabulary; equal words are looked up once."""
 
@@ -50,30 +68,43 @@ class Vectors:
         self.idf = np.array(list(idf.values()))
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def _terms(self, word: str) -> tuple[int, ...]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= REMEMBERED:
+                self.known = {}
+            found = self.known[word] = tuple(self.number[t] for t in terms_of(word) if t in self.number)
+        return found
+
+    def of_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(term numbers, weights, n + 1 bounds of the texts in them); none for a text without a known term."""
+        said = [t.lower().split() for t in texts]
+        words = pa.array([w for s in said for w in s], pa.large_string()).dictionary_encode()
+        found = [self._terms(w) for w in words.dictionary.to_pylist()]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((t for f in found for t in f), np.int64, counts.sum())
+        codes = words.indices.to_numpy(zero_copy_only=False)
+        firsts = (np.cumsum(counts) - counts)[codes]
+        at, terms = _ranges(firsts, firsts + counts[codes])
+        text = np.repeat(np.arange(len(said)), [len(s) for s in said])
+        size = max(len(self.idf), 1)
+        pairs, times = np.unique(np.repeat(text * size, terms) + flat[at], return_counts=True)
+        owner, ids = pairs // size, pairs % size
+        weights = self.idf[ids] * (1 + np.log(times)) if len(ids) else np.zeros(0)
+        norms = np.sqrt(np.bincount(owner, weights ** 2, len(said)))
+        weights /= np.where(norms > 0, norms, 1)[owner]
+        return ids, weights, np.searchsorted(owner, np.arange(len(said) + 1))
+
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(term numbers, weights), empty for a text without a known term."""
-        counts: Counter = Counter()
-        for word, n in Counter(text.lower().split()).items():
-            found = self.known.get(word)
-            if found is None:
-                if len(self.known) > 100_000:
-                    self.known = {}
-                found = self.known[word] = tuple(self.number[t] for t in terms_of(word) if t in self.number)
-            for i in found:
-                counts[i] += n
-        ids = np.fromiter(counts.keys(), np.int64, len(counts))
-        weights = self.idf[ids] * (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts))))
-        order = np.argsort(ids)
-        norm = np.sqrt((weights ** 2).sum())
-        return ids[order], weights[order] / norm if norm else weights
+        """(term numbers, weights) of one text."""
+        return self.of_all([text])[:2]
 
 
 def _ranges(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(the whole numbers of all ranges one after the other, the range that each is of)."""
+    """(the whole numbers of all ranges one after the other, how many each range has)."""
     counts = stops - starts
     ends = np.cumsum(counts)
-    own = np.repeat(np.arange(len(counts)), counts)
-    return (starts - (ends - counts))[own] + np.arange(len(own)), own
+    return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0), counts
 
 
 @dataclass
@@ -83,65 +114,91 @@ class Index:
     Cells are the pairs of a term and a block that have postings.
 
     cells[t]  where the cells of term t begin; block[c]  the block of a cell; first[c]  where its
-    postings begin; most[c]  their largest weight
+    postings begin; most[c]  their largest weight; peak[t]  the largest weight of a term;
+    rows  the examples' own vectors: (bounds, terms, weights)
     """
 
     cells: np.ndarray
     block: np.ndarray
     first: np.ndarray
     most: np.ndarray
+    peak: np.ndarray
     docs: np.ndarray
     weights: np.ndarray
+    rows: tuple[np.ndarray, np.ndarray, np.ndarray]
     n: int
 
     @staticmethod
     def of(rows: list[tuple[np.ndarray, np.ndarray]], terms: int) -> Index:
         n, blocks = len(rows), max(-(-len(rows) // BLOCK), 1)
-        docs = np.repeat(np.arange(n), [len(i) for i, _ in rows])
+        sizes = np.array([len(i) for i, _ in rows], np.int64)
+        docs = np.repeat(np.arange(n), sizes)
         ids = np.concatenate([i for i, _ in rows] or [np.zeros(0, np.int64)])
         weights = np.concatenate([w for _, w in rows] or [np.zeros(0)])
+        own = np.append(0, np.cumsum(sizes)), ids.astype(np.int32), weights
         order = np.lexsort((docs, ids))
         docs, ids, weights = docs[order], ids[order], weights[order]
         cell = ids * blocks + docs // BLOCK
         first = np.flatnonzero(np.diff(cell, prepend=-1))
         most = np.maximum.reduceat(weights, first) if len(first) else np.zeros(0)
+        peak = np.zeros(terms)
+        np.maximum.at(peak, ids, weights)
         cells = np.searchsorted(cell[first], np.arange(terms + 1) * blocks)
-        return Index(cells, (cell[first] % blocks).astype(np.int32), np.append(first, len(docs)), most,
-                     docs.astype(np.int32), weights, n)
+        return Index(cells, (cell[first] % blocks).astype(np.int32), np.append(first, len(docs)), most, peak,
+                     docs.astype(np.int32), weights, own, n)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine above 0; equal cosines go by number.
 
-        The sum over terms of weight times block maximum bounds every cosine of a block. Blocks are
-        taken by falling bound until the next bound is below the k-th best cosine.
+        The postings of the terms that can add most are summed first. The other terms add at most
+        the sum of weight times block maximum to an example of a block; examples that stay below the
+        k-th best sum so far even with that cannot be among the nearest. If few are left, their cosines are
+        taken from their own vectors, and the other postings are not read.
         """
-        if not len(ids):
+        if not len(ids) or not self.n:
             return np.zeros(0, np.int64), np.zeros(0)
-        blocks = -(-self.n // BLOCK)
-        cells, own = _ranges(self.cells[ids], self.cells[ids + 1])
-        block, weight = self.block[cells], weights[own]
-        bounds = np.bincount(block, self.most[cells] * weight, blocks)
-        order = np.argsort(-bounds, kind="stable")
-        scores, done, reach, step, chosen = np.zeros(self.n), 0, 0.0, 4, np.zeros(blocks, bool)
-        while done < blocks and bounds[order[done]] >= reach - 1e-12 and bounds[order[done]] > 0:
-            some = order[done: done + step]
-            done, step = done + len(some), step * 2
-            chosen[:] = False
-            chosen[some] = True
-            hit = np.flatnonzero(chosen[block])
-            at, owner = _ranges(self.first[cells[hit]], self.first[cells[hit] + 1])
-            scores += np.bincount(self.docs[at], self.weights[at] * weight[hit][owner], self.n)
-            if leave >= 0:
-                scores[leave] = 0
-            if done * BLOCK > k and self.n > k:
-                reach = max(np.partition(scores, self.n - k)[self.n - k], 0.0)
-        best = np.lexsort((np.arange(self.n), -scores))[:k] if self.n <= 4 * k else None
-        if best is None:
+        share = weights * self.peak[ids]
+        order = np.argsort(-share, kind="stable")
+        ids, weights, reached = ids[order], weights[order], np.cumsum(share[order])
+        starts, stops = self.first[self.cells[ids]], self.first[self.cells[ids + 1]]
+        long = int((stops - starts).sum()) > _SHORT and self.n > k
+        head = int(np.searchsorted(reached, _PART * reached[-1])) + 1 if long else len(ids)
+        scores = self._sums(starts[:head], stops[:head], weights[:head])
+        if leave >= 0:
+            scores[leave] = -1.0
+        if head < len(ids):
+            cells, each = _ranges(self.cells[ids[head:]], self.cells[ids[head:] + 1])
+            more = np.bincount(self.block[cells], self.most[cells] * np.repeat(weights[head:], each), -(-self.n // BLOCK))
             cut = np.partition(scores, self.n - k)[self.n - k]
-            near = np.flatnonzero(scores >= cut)
-            best = near[np.lexsort((near, -scores[near]))][:k]
+            near = np.flatnonzero(scores + np.repeat(more, BLOCK)[: self.n] >= max(cut, 0) - 1e-12)
+            near = near[near != leave]
+            if len(near) <= _FEW:
+                return self._best(near, self._cosines(near, ids, weights), k)
+            scores += self._sums(starts[head:], stops[head:], weights[head:])
+            if leave >= 0:
+                scores[leave] = -1.0
+        return self._best(np.arange(self.n), scores, k)
+
+    def _sums(self, starts: np.ndarray, stops: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the postings of some terms add to each example."""
+        at, each = _ranges(starts, stops)
+        return np.bincount(self.docs[at], self.weights[at] * np.repeat(weights, each), self.n)
+
+    def _cosines(self, near: np.ndarray, ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        bounds, terms, values = self.rows
+        at, each = _ranges(bounds[near], bounds[near + 1])
+        asked = np.zeros(len(self.peak))
+        asked[ids] = weights
+        return np.bincount(np.repeat(np.arange(len(near)), each), values[at] * asked[terms[at]], len(near))
+
+    @staticmethod
+    def _best(near: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(near) > 4 * k:
+            some = scores >= np.partition(scores, len(near) - k)[len(near) - k]
+            near, scores = near[some], scores[some]
+        best = np.lexsort((near, -scores))[:k]
         best = best[scores[best] > 0]
-        return best, scores[best]
+        return near[best], scores[best]
 
 
 def vote(labels: np.ndarray, cosines: np.ndarray) -> float:
@@ -220,15 +277,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples: int
     each = map_texts(rows, "text", [T.StructField("terms", T.ArrayType(T.StringType()))], words, ["doc_id", "_label"])
     totals = {r["_label"]: r["n"] for r in rows.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
-    n = n0 + n1
-    counted = each.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()
-    idf = {r["term"]: float(np.log((n + 1) / (r["n"] + 1)) + 0.1) for r in sorted(counted, key=lambda r: r["term"])}
+    counted = each.select("_label", F.explode("terms").alias("term")).groupBy("term").agg(
+        F.count_if(F.col("_label") == 0).alias("n0"), F.count_if(F.col("_label") == 1).alias("n1")).collect()
+    idf = term_weights({r["term"]: (r["n0"], r["n1"]) for r in counted}, n0, n1)
 
     def vectors():
         made = Vectors(idf)
 
         def fill(texts: pa.Array) -> list[pa.Array]:
-            rows = [made.of(x or "") for x in texts.to_pylist()]
+            ids, weights, at = made.of_all([x or "" for x in texts.to_pylist()])
+            rows = [(ids[a:b], weights[a:b]) for a, b in zip(at[:-1], at[1:])]
             heaviest = [int(i[np.argmax(w)]) if len(i) else -1 for i, w in rows]
             return [pa.array([i.astype("<i4").tobytes() for i, _ in rows], pa.binary()),
                     pa.array([w.astype("<f8").tobytes() for _, w in rows], pa.binary()), pa.array(heaviest, pa.int32())]
@@ -267,14 +325,15 @@ def score(df: DataFrame, model: Model, keep: list[str] = ("doc_id",), text: str
         model = shared.value
 
         def fill(texts: pa.Array) -> list[pa.Array]:
-            done = [model.score(*model.vectors.of(x or "")) for x in texts.to_pylist()]
+            ids, weights, at = model.vectors.of_all([x or "" for x in texts.to_pylist()])
+            done = [model.score(ids[a:b], weights[a:b]) for a, b in zip(at[:-1], at[1:])]
             scores = np.array([d[0] for d in done])
             shown = [[{"doc_id": int(model.doc_ids[i]), "cosine": float(c)} for i, c in zip(near[:3], cos[:3])] for _, near, cos in done]
             return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)),
                     pa.array(shown, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])))]
         return fill
 
-    return map_texts(df, text, fields, make, list(keep))
+    return map_texts(df, text, fields, make, list(keep), SLICE_BYTES)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:

@@ -40,3 +40,30 @@ def test_rare_label_is_sampled_whole(spark):
     model = toxicity.fit(df, labels, examples=100)
     toxic = sum(k % 40 == 0 for k in ids)
     assert len(model.labels) == 100 and model.labels.sum() == toxic and model.base == pytest.approx((toxic + 0.5) / (len(ids) + 1))
+
+
+@pytest.mark.parametrize("short", [0, 10 ** 9])
+def test_bounds_change_no_neighbour(monkeypatch, short):
+    import numpy as np
+    monkeypatch.setattr(toxicity, "_SHORT", short)
+    rng, terms = np.random.default_rng(3), 300
+
+    def vector():
+        ids = np.unique(rng.zipf(1.3, 60).clip(1, terms) - 1)
+        weights = rng.random(len(ids)) ** 4
+        return ids, weights / np.sqrt((weights ** 2).sum())
+
+    rows = [vector() for _ in range(700)]
+    rows += rows[:50]                                                   # ties
+    index = toxicity.Index.of(rows, terms)
+    dense = np.zeros((len(rows), terms))
+    for k, (ids, weights) in enumerate(rows):
+        dense[k, ids] = weights
+    for leave in [-1] * 60 + list(range(60)):
+        ids, weights = rows[leave] if leave >= 0 else vector()
+        asked = np.zeros(terms)
+        asked[ids] = weights
+        cosines = dense @ asked
+        order = [k for k in np.lexsort((np.arange(len(rows)), -cosines.round(12))) if k != leave][:15]
+        near, found = index.nearest(ids, weights, 15, leave)
+        assert np.allclose(found, cosines[order]) and np.allclose(cosines[near], cosines[order]) and leave not in near
