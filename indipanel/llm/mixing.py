@@ -17,6 +17,9 @@ CHUNK = 2048
 # Units kept for the landing, in which all ways to decide them are compared.
 LANDING = 13
 
+# A unit is large if it has more than this share of its source's words, and than the units of a landing can even out.
+_LARGE = 0.0005
+
 # What a document too many counts in the landing, in words of a document of mean size.
 _NUMBER_WEIGHT = 0.02
 
@@ -144,14 +147,48 @@ def balanced_sample(units: DataFrame, seed: int = 7, chunk: int = CHUNK) -> Data
     return out
 
 
+def draw_large(units: DataFrame, seed: int = 7) -> DataFrame:
+    """Units with the large ones decided, and the others' probabilities at what is left of each source's words.
+
+    Units of about mean size cannot even out a text that is larger than many of them, whenever it is
+    decided. So large units, fewer than 1 / _LARGE of a source, are decided first, the largest first: each with
+    the share of the words still wanted in those still open, and surely where the others could not do with or without
+    it. The number of documents is not balanced for them.
+    """
+    sums = units.groupBy("source").agg(F.sum("_x").alias("_open"), F.avg("_x").alias("_mean"))
+    known = units.alias("u").join(sums.alias("s"), F.col("u.source").eqNullSafe(F.col("s.source"))).select("u.*", "_open", "_mean")
+    large = F.col("_x") > F.greatest(F.col("_open") * _LARGE, F.col("_mean") * (LANDING / 2))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["_x", "_key"], ascending=[False, True])
+        rng = random.Random(f"{seed} large {part['source'].iloc[0]}")
+        still, wanted, taken = float(part["_open"].iloc[0]), float(part["_open"].iloc[0] * part["_p"].iloc[0]), []
+        for x in part["_x"]:
+            still -= x
+            chance = 1.0 if wanted > still else 0.0 if wanted < x else wanted / (still + x)
+            taken.append(float(rng.random() < chance))
+            wanted -= taken[-1] * x
+        return part.assign(_p=taken)
+
+    decided = kept_table(known.filter(large).groupBy("source").applyInPandas(run, known.schema), "large")
+    used = decided.groupBy("source").agg(F.sum(F.col("_p") * F.col("_x")).alias("_used"), F.sum("_x").alias("_big"))
+    left = (F.col("k._open") * F.col("k._p") - F.col("_used")) / (F.col("k._open") - F.col("_big"))
+    small = known.filter(~large).alias("k").join(used.alias("d"), F.col("k.source").eqNullSafe(F.col("d.source")), "left")
+    p = F.when(F.col("_used").isNull(), F.col("k._p")).otherwise(F.least(F.greatest(left, F.lit(0.0)), F.lit(1.0)))
+    columns = units.columns
+    return small.select(*[p.alias("_p") if c == "_p" else F.col(f"k.{c}") for c in columns]).unionByName(
+        decided.select(*columns))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, seed: int = 7,
         chunk: int = CHUNK) -> DataFrame:
     """doc_id, source, key, size, source_size, target, copies, taken: how often the mix takes each document.
 
     size is the number of words, null text none. A source whose target is t times its size
     takes each document floor(t) times; the cube method decides which documents it takes once
-    more, balancing words and documents. So ``taken`` = copies x size is near the target of
-    the source up to what a choice among its last fifteen documents can even out, and the draw is fixed by ``seed``.
+    more, balancing words and documents; texts that are too large for that are drawn before (draw_large).
+    So ``taken`` = copies x size is near the target of the source up to what a choice among its last fifteen documents
+    can even out, and the draw is fixed by ``seed``.
     Documents without words are taken floor(t) times. A null source is a source of its own;
     rows with equal id, text and source have one key and are taken together, equally
     often. Other columns are not read. An empty table gives an empty result.
@@ -165,10 +202,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3
         "u.*", F.floor(ratio).alias("_whole"), (ratio - F.floor(ratio)).alias("_p"))
     open_ = (F.col("_p") > _NEAR) & (F.col("_p") < 1 - _NEAR) & (F.col("_x") > 0)
     units = kept_table(units.select("*", open_.alias("_open")), "units")
-    drawn = balanced_sample(units.filter("_open").drop("_open"), seed, chunk)
-    decided = drawn.unionByName(units.filter("not _open").drop("_open")).select("_key", (
+    drawn = balanced_sample(kept_table(draw_large(units.filter("_open").drop("_open"), seed), "drawn"), seed, chunk)
+    decided = drawn.unionByName(units.filter("not _open").drop("_open")).select("source", "_key", (
         F.col("_whole") + F.when((F.col("_p") >= 1 - _NEAR) & (F.col("_x") > 0), 1).otherwise(0)).alias("copies"))
-    out = rows.alias("r").join(decided.alias("d"), F.col("r.key") == F.col("d._key"))
+    out = rows.alias("r").join(decided.alias("d"), (F.col("r.key") == F.col("d._key")) & F.col("r.source").eqNullSafe(
+        F.col("d.source")))
     out = out.join(shares.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
     return out.select("r.doc_id", "r.source", "r.key", "r.size", "s.source_size", "s.target",
                       F.col("d.copies").cast("long").alias("copies"),
