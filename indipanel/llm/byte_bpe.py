@@ -20,12 +20,9 @@ from .subwords import PieceEncoder
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 # Bytes of text worked on at once, and ids decoded at once: the work arrays take 20 to 30 times as much.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 STEP_IDS = 1 << 18
 
-# Pieces a task remembers; their number bounds the memory and changes no result.
-REMEMBERED = 100_000
-
 
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
@@ -120,7 +117,7 @@ def encode(df: DataFrame, keep: list[str] = ("doc_id",), text: str = "text", pat
 
     def make():
         tokenizer = Tokenizer.from_str(definition)
-        encoder, table = PieceEncoder(tokenizer, remembered=REMEMBERED), ByteTable(tokenizer.get_vocab())
+        encoder, table = PieceEncoder(tokenizer), ByteTable(tokenizer.get_vocab())
 
         def binary(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
             return pa.LargeBinaryArray.from_buffers(

@@ -80,6 +80,9 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField],
                 made = fill(texts.slice(part.start, part.stop - part.start))
                 columns = [c.cast(f.type) for c, f in zip([*rows.columns, *made], arrow)]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            # what a batch needed goes back to the system, as workers live on and share their executor's memory
+            del batch, texts, kept
+            pa.default_memory_pool().release_unused()
 
     picked = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_text"))
     return picked.mapInArrow(run, schema)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-# Pieces a task remembers, with their ids; then it starts anew. Only the speed depends on it.
-REMEMBERED = 400_000
+from .common import Remembered
+
+# Pieces a task remembers, with their ids, and the bytes of the longest of them. Only the speed depends on it.
+REMEMBERED = 100_000
+LONGEST = 64
 
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 _ALNUM = np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123)])
@@ -39,6 +43,8 @@ class PieceEncoder:
     """Ids of texts; equal pieces of a task's texts are encoded once."""
 
     def __init__(self, tokenizer: Tokenizer, fold_ascii: bool = False, remembered: int = REMEMBERED, special: bool = False):
+        # One thread: a task has one core, and each thread of the library's pool would keep memory of its own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer.encode_special_tokens = not special  # False: a special token's string in a text is that token
         tokens = tokenizer.get_added_tokens_decoder().values() if special else []
         if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in tokens):
@@ -47,23 +53,23 @@ class PieceEncoder:
         self.special = re.compile(b"|".join(map(re.escape, strings))) if strings else None
         tokenizer.no_padding()
         tokenizer.no_truncation()
-        self.tokenizer, self.remembered = tokenizer, remembered
+        self.tokenizer = tokenizer
         self.fold = np.arange(256, dtype=np.uint8)
         if fold_ascii:
             self.fold[65:91] += 32
-        self.known: dict[bytes, bytes] = {}
+        self.known = Remembered(remembered)
 
     def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > self.remembered:
-            self.known = {}
-            new = pieces
-        for i in range(0, len(new), 8192):
-            part = new[i: i + 8192]
-            done = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-            for p, e in zip(part, done):
-                self.known[p] = np.array(e.ids, np.uint32).tobytes()
-        return [self.known[p] for p in pieces]
+        ids = [self.known.find(p) for p in pieces]
+        missing = [k for k, found in enumerate(ids) if found is None]
+        for i in range(0, len(missing), 8192):
+            part = missing[i: i + 8192]
+            done = self.tokenizer.encode_batch_fast([pieces[k].decode() for k in part], add_special_tokens=False)
+            for k, e in zip(part, done):
+                ids[k] = np.array(e.ids, np.uint32).tobytes()
+                if len(pieces[k]) <= LONGEST:
+                    self.known.add(pieces[k], ids[k])
+        return ids
 
     def _whole_specials(self, data: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The starts of pieces, with each string of a special token within a text as a piece of its own."""
