@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,7 @@ STEPS = 8
 # Weight of the evidence of one word: the n-grams of a word overlap and are not independent.
 _EVIDENCE = 0.5
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -49,7 +50,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Counts the n-grams of at most ``per_language`` documents with each non-null lang.
 
     Only documents that may be learned from count. Those with the smallest hashes of their
-    ids are taken; their texts stay on the executors, each task sends one row of counts per language.
+    ids are taken; their texts stay on the executors. A task gives its counts by language and slot, which are summed
+    in that grouping, so no task holds more than the slots of its own texts; the driver gets one count per language and slot.
     """
     usable = docs.filter(in_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id"))
@@ -64,23 +66,22 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 slots = gram_slots(np.frombuffer(text.encode(), np.uint8))
                 totals[lang] = totals.get(lang, 0) + np.bincount(slots, minlength=SLOTS)
-        if totals:
+        for lang, found in totals.items():
+            slots = np.flatnonzero(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(totals)), pa.array([v.astype("<i8").tobytes() for v in totals.values()], pa.binary())],
-                names=["lang", "counts"])
+                [pa.array([lang] * len(slots), pa.string()), pa.array(slots.astype(np.int32)), pa.array(found[slots])],
+                names=["lang", "slot", "n"])
 
-    def add(parts):
-        total = sum(np.frombuffer(c, "<i8") for c in parts["counts"])
-        return parts.head(1)[["lang"]].assign(counts=[total.tobytes()])
-
-    counted = rows.select("lang", "text").mapInArrow(count, "lang string, counts binary")
-    found = counted.groupBy("lang").applyInPandas(add, "lang string, counts binary").orderBy("lang").collect()
-    if not found:
+    counted = rows.select("lang", "text").mapInArrow(count, "lang string, slot int, n long")
+    found = counted.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
+    languages = sorted(pc.unique(found["lang"]).to_pylist())
+    if not languages:
         return Model([], np.zeros((SLOTS, 0), np.float32))
-    counts = np.array([np.frombuffer(r["counts"], "<i8") for r in found], np.float64)
+    counts = np.zeros((len(languages), SLOTS))
+    counts[pc.index_in(found["lang"], pa.array(languages)).to_numpy(), found["slot"].to_numpy()] = found["n"].to_numpy()
     shared = (counts.sum(0) + 0.5) / (counts.sum() + 0.5 * SLOTS)
     smooth = counts + 200.0 * shared * SLOTS / SLOTS + 1e-3
-    return Model([r["lang"] for r in found], np.log(smooth / smooth.sum(1, keepdims=True)).T.astype(np.float32))
+    return Model(languages, np.log(smooth / smooth.sum(1, keepdims=True)).T.astype(np.float32))
 
 
 def _mixtures(likelihood: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +152,7 @@ def predict(df: DataFrame, model: Model, keep: list[str] = ("doc_id",), text: st
     """The columns ``keep``, lang_pred (the language with the largest share), score (that share) and languages
     (the chosen set with its shares).
 
-    A text that is null or has no letter, or a model without languages, gives ``unknown`` with score 0.
+    A text that is null or has no letter (Unicode category L), or a model without languages, gives ``unknown`` with score 0.
     Ties go to the first language by name. Nothing but the text is looked at.
     """
     share = T.StructType([T.StructField("lang", T.StringType()), T.StructField("share", T.DoubleType())])
