@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from .common import kept_table
 from .components import components
 
-# Tables; E8 blocks per table; length of a projected unit vector's coordinate, in which the shortest lattice
-# vectors measure 1.41; cells probed in a table, the own one included; vectors of a cell that one
-# task compares at a time.
-TABLES, BLOCKS, SCALE, PROBES, TILE = 8, 2, 0.33, 4, 512
+# Length of a projected unit vector's coordinate, in which the shortest lattice vectors measure 1.41; cells probed
+# in a table, the own one included; vectors of a cell that one task compares at a time.
+SCALE, PROBES, TILE = 0.33, 4, 512
+
+# E8 blocks and tables for so many vectors at most. A further block parts unrelated vectors into some 24 times
+# as many cells and halves the share of linked pairs that meet in one table, so twice the tables go with it and
+# 12 times the vectors: an unrelated vector is then compared with a bounded number of others, 800 at most.
+BLOCKS, TABLES, VECTORS, MORE = 2, 8, 25_000, 12
 
 # Lengths whose projections a task holds at a time, and lone lengths, the largest first, left out beforehand; only the speed depends on them.
 HASHERS, LONE = 8, 1000
@@ -50,6 +54,14 @@ def minimal_vectors() -> np.ndarray:
     return np.concatenate([whole, signs[signs.prod(1) == 1]])
 
 
+def grid(vectors: int) -> tuple[int, int]:
+    """Blocks and tables for a number of vectors."""
+    steps = 0
+    while vectors > VECTORS * MORE ** steps:
+        steps += 1
+    return BLOCKS + steps, TABLES << steps
+
+
 class Hasher:
     """The random projections of all tables, and the cells of vectors in them."""
 
@@ -100,8 +112,11 @@ def unit_vectors(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     width = max((len(v) for v in lists if v is not None), default=0)
     x = np.array([v if v is not None and len(v) == width and None not in v else [np.nan] * width for v in lists],
                  np.float64).reshape(len(lists), width)
-    norms = np.sqrt((x * x).sum(1)) if width else np.zeros(len(lists))
-    good = np.isfinite(x).all(1) & np.isfinite(norms) & (norms > 0)
+    largest = np.abs(x).max(1) if width else np.zeros(len(lists))
+    good = np.isfinite(largest) & (largest > 0)
+    # by the largest component first, so that no square over- or underflows; exact, as it is a power of two
+    x = np.ldexp(x, -np.frexp(np.where(good, largest, 1.0))[1][:, None])
+    norms = np.sqrt((x * x).sum(1))
     return np.divide(x, norms[:, None], out=np.zeros_like(x), where=good[:, None]), good
 
 
@@ -212,15 +227,15 @@ def _link_rows(probes: int, tables: int, least: float):
 
 
 def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", least: float = 0.9,
-                    tables: int = TABLES, probes: int = PROBES, tile: int = TILE, **how) -> DataFrame:
+                    tables: int | None = None, blocks: int | None = None, probes: int = PROBES, tile: int = TILE, **how) -> DataFrame:
     """vec_id, n_links, component_id and kept, one row per vector.
 
     Two vectors are compared if in some table the cell of one is among the cells that the other
     probes; they are linked if their cosine, in double precision, is ``least`` or more. A
     cell is cut into tiles that meet pair by pair, so no task holds a large cell, and a task
-    gives a count and one vector that it reaches per vector instead of pairs. Of pairs at a cosine
-    of just 0.9 the standing tables find 0.998, of closer ones more; more ``blocks`` make more cells, for
-    more vectors, and want more ``tables``. component_id is the smallest
+    gives a count and one vector that it reaches per vector instead of pairs. ``blocks`` and ``tables`` follow
+    the number of vectors (``grid``), so cells shrink as the rows grow; with each choice over 0.99 of the pairs at a
+    cosine of just 0.9 are found, of closer ones more. component_id is the smallest
     vec_id reachable, and kept marks the vector that has it.
 
     Only vectors of equal length are compared. A vector that is null, empty or zero, that is alone of its length,
@@ -233,7 +248,9 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     # A length that a single vector has, such as that of a malformed row, needs no projections.
     alone = [r["width"] for r in lengths.filter("n = 1").orderBy(F.desc("width")).limit(LONE).collect()]
     comparable = rows.filter(~F.size("v").isin(alone)) if alone else rows
-    vectors = kept_table(_entries(comparable.select("node", "v"), probes, tables=tables, **how), "cells")
+    fitting = grid(lengths.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
+    blocks, tables = blocks or fitting[0], tables or fitting[1]
+    vectors = kept_table(_entries(comparable.select("node", "v"), probes, tables=tables, blocks=blocks, **how), "cells")
     cell = ["width", "at_table", "cell"]
     entries = vectors.select("node", "width", F.posexplode("cells").alias("_at", "cell")).select(
         "node", "width", F.floor(F.col("_at") / probes).cast("int").alias("at_table"), "cell", (F.col("_at") % probes == 0).alias("own"))
