@@ -21,35 +21,49 @@ CONTROL = ["|turn|>", "|text|>", "|end|>", "|im_start|>", "|im_end|>", "|endofte
 class Layout:
     """One way in which conversations are stored, and how its turns are found.
 
-    paths  field paths that it has, of all paths that any layout knows; [] is an array's element
-    array  path of the array of turns; none if the record is a single exchange
-    role, text  paths below the array's element
-    turns  without an array: (role, path or paths joined by a newline) one after the other
+    paths  field paths that it has, of all paths that any layout knows; [] is any element of an array
+    before, after  turns from single fields: (role, paths whose texts are joined by a newline), one after the other
+    arrays  between them: (path of an array of turns, paths of role and text below its elements)
     """
 
     name: str
     paths: tuple[str, ...]
-    array: str = ""
-    role: str = ""
-    text: str = ""
-    turns: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    before: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    arrays: tuple[tuple[str, str, str], ...] = ()
+    after: tuple[tuple[str, tuple[str, ...]], ...] = ()
+
+
+def single(name: str, **fields: tuple[str, ...] | str) -> Layout:
+    """A layout of one exchange: each keyword is a role with its field or fields."""
+    turns = tuple((role, (f,) if isinstance(f, str) else f) for role, f in fields.items())
+    return Layout(name, tuple(f for _, fs in turns for f in fs), before=turns)
+
+
+def listed(name: str, *arrays: tuple[str, str, str], system: bool = False, answer: str = "") -> Layout:
+    """A layout of arrays of turns, maybe behind a system text or before an answer in a field of its own."""
+    paths = tuple(f"{a}[].{f}" for a, *below in arrays for f in below)
+    return Layout(name, (*(("system",) if system else ()), *paths, *((answer,) if answer else ())),
+                  before=(("system", ("system",)),) if system else (), arrays=arrays,
+                  after=(("assistant", (answer,)),) if answer else ())
 
 
 LAYOUTS = (
-    Layout("messages", ("messages[].role", "messages[].content"), "messages", "role", "content"),
-    Layout("from_value", ("conversations[].from", "conversations[].value"), "conversations", "from", "value"),
-    Layout("instruction", ("instruction", "output"),
-           turns=(("user", ("instruction",)), ("assistant", ("output",)))),
-    Layout("instruction_input", ("instruction", "input", "output"),
-           turns=(("user", ("instruction", "input")), ("assistant", ("output",)))),
-    Layout("prompt_completion", ("prompt", "completion"),
-           turns=(("user", ("prompt",)), ("assistant", ("completion",)))),
-    Layout("prompt_response", ("prompt", "response"),
-           turns=(("user", ("prompt",)), ("assistant", ("response",)))),
-    Layout("system_prompt_response", ("system", "prompt", "response"),
-           turns=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",)))),
-    Layout("question_answer", ("question", "answer"),
-           turns=(("user", ("question",)), ("assistant", ("answer",)))),
+    listed("messages", ("messages", "role", "content")),
+    listed("system_messages", ("messages", "role", "content"), system=True),
+    listed("from_value", ("conversations", "from", "value")),
+    listed("system_from_value", ("conversations", "from", "value"), system=True),
+    listed("prompt_messages_completion", ("prompt", "role", "content"), answer="completion"),
+    listed("prompt_messages_response", ("prompt", "role", "content"), answer="response"),
+    listed("prompt_completion_messages", ("prompt", "role", "content"), ("completion", "role", "content")),
+    single("instruction", user="instruction", assistant="output"),
+    single("instruction_input", user=("instruction", "input"), assistant="output"),
+    single("system_instruction", system="system", user="instruction", assistant="output"),
+    single("system_instruction_input", system="system", user=("instruction", "input"), assistant="output"),
+    single("prompt_completion", user="prompt", assistant="completion"),
+    single("system_prompt_completion", system="system", user="prompt", assistant="completion"),
+    single("prompt_response", user="prompt", assistant="response"),
+    single("system_prompt_response", system="system", user="prompt", assistant="response"),
+    single("question_answer", user="question", assistant="answer"),
     Layout("rows", ("conv_id", "turn", "role", "text")),
 )
 
@@ -68,6 +82,13 @@ def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
+def text_paths(paths: list[str], known: list[str]) -> set[str]:
+    """Paths of a schema, where a list of texts or of objects with a text counts as the known path that holds it."""
+    def holder(path: str) -> str:
+        return next((k for k in known if path == f"{k}[]" or (path.startswith(f"{k}[].") and path not in known)), path)
+    return {holder(p) for p in paths}
+
+
 def fingerprint(present: list[Column], paths: list[str]) -> Column:
     """Hash of those paths that are present, in their order."""
     return F.xxhash64(F.concat_ws("\n", *[F.when(p, F.lit(name)) for p, name in zip(present, paths)]))
@@ -86,9 +107,65 @@ def _role(role: Column) -> Column:
     return F.coalesce(F.try_element_at(known, role), role, F.lit(""))
 
 
-def _as_turns(each: Column, role: str, text: str) -> Column:
-    return F.transform(each, lambda m: F.struct(
-        _role(m.getField(role)).alias("role"), F.coalesce(m.getField(text), F.lit("")).alias("text")))
+def _is(value: Column, kind: str) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(False))
+
+
+def _elements(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
+def _part(part: Column) -> Column:
+    """Text of a part of a list: a string, or an object's field ``text``; NULL for any other part."""
+    return F.when(_is(part, "STRING"), F.try_variant_get(part, "$", "string")).when(
+        _is(F.try_variant_get(part, "$.text", "variant"), "STRING"), F.try_variant_get(part, "$.text", "string"))
+
+
+def _readable(value: Column) -> Column:
+    """Whether all of a value is text: null, a string, number or truth value, or a list of parts with a text each."""
+    return F.when(_is(value, "ARRAY"), F.forall(_elements(value), lambda p: _part(p).isNotNull())).otherwise(~_is(value, "OBJECT"))
+
+
+def _text(value: Column) -> Column:
+    """The text of a readable value; texts of a list are joined by newlines, null is empty."""
+    return F.coalesce(F.when(_is(value, "ARRAY"), F.array_join(F.transform(_elements(value), _part), "\n"))
+                      .otherwise(F.try_variant_get(value, "$", "string")), F.lit(""))
+
+
+def _mark(name: str, value: Column) -> Column:
+    """The path if the value is there and readable, the path and ! if it is something else, NULL if it is missing."""
+    return F.when(value.isNull(), None).when(_readable(value), F.lit(name)).otherwise(F.lit(name + "!"))
+
+
+def _field(doc: Column, path: str) -> Column:
+    return F.try_variant_get(doc, "$." + path, "variant")
+
+
+def _marks(doc: Column, path: str, known: list[str]) -> Column:
+    """What the fingerprint says about a path: nothing if it is missing, else the path, with a sign if not all of it is as layouts expect."""
+    if "[]." not in path:
+        value = _field(doc, path)
+        below = any(p.startswith(path + "[].") for p in known)
+        turns = F.exists(_elements(value), lambda m: _is(m, "OBJECT") & _part(m).isNull()) if below else F.lit(False)
+        return F.when(_is(value, "ARRAY") & F.coalesce(turns, F.lit(False)), None).otherwise(_mark(path, value))
+    array, below = path.split("[].")
+    each = F.transform(_elements(_field(doc, array)), lambda m: F.coalesce(_mark(path, _field(m, below)), F.lit("")))
+    # One element that has no such field, or holds something else there, tells the record from every layout.
+    return F.when(F.exists(each, lambda x: x != ""), F.when(F.forall(each, lambda x: x == path), F.lit(path)).otherwise(F.lit(path + "!")))
+
+
+def _turns_of(doc: Column, layout: Layout) -> Column:
+    def from_fields(turns):
+        return F.array(*[F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *[
+            F.when(_text(_field(doc, p)) != "", _text(_field(doc, p))) for p in paths]).alias("text")) for role, paths in turns])
+
+    def from_array(array, role, text):
+        return F.transform(_elements(_field(doc, array)), lambda m: F.struct(
+            _role(_text(_field(m, role))).alias("role"), _text(_field(m, text)).alias("text")))
+
+    parts = [*([from_fields(layout.before)] if layout.before else []), *[from_array(*a) for a in layout.arrays],
+             *([from_fields(layout.after)] if layout.after else [])]
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
 def canonical_records(records: DataFrame, record: str = "record", conv_id: str = "conv_id",
@@ -96,29 +173,23 @@ def canonical_records(records: DataFrame, record: str = "record", conv_id: str =
     """conv_id, layout, turns of records given as JSON texts, each in a layout of its own.
 
     The paths of a record that some layout knows are hashed; the layout with this
-    fingerprint says where its turns are. Other fields do not count. A record that is no JSON,
-    or whose fingerprint no layout has, keeps its row with layout and turns NULL. An
-    array without a single element shows no nested path and so has no layout either.
+    fingerprint says where its turns are. A path below an array counts over all of its elements. Other fields do not count.
+    A null text is empty; a list of texts, or of objects with a ``text``, is joined by newlines.
+
+    No text is lost in silence: a record that is no JSON, whose elements disagree about their fields, that holds an object or
+    a part without text where a text belongs, or whose fingerprint no layout has, keeps its row with layout and
+    turns NULL. An empty array shows no nested path and so has no layout either. A conversation is one row, and its memory
+    that of one record.
     """
     layouts = tuple(x for x in layouts if x.name != "rows")
     known = _known(layouts)
-    doc = F.try_parse_json(F.col(record))
-    here = records.select(F.col(conv_id).alias("conv_id"), doc.alias("_doc"))
-
-    def at(path: str, kind: str = "variant") -> Column:
-        return F.try_variant_get(F.col("_doc"), "$." + path.replace("[]", "[0]"), kind)
-
-    here = here.withColumn("_print", fingerprint([at(p).isNotNull() for p in known], known))
+    here = records.select(F.col(conv_id).alias("conv_id"), F.try_parse_json(F.col(record)).alias("_doc"))
+    doc = F.col("_doc")
+    here = here.withColumn("_print", F.xxhash64(F.concat_ws("\n", *[_marks(doc, p, known) for p in known])))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(_TURNS)
     for x in layouts:
-        if x.array:
-            each = F.try_variant_get(F.col("_doc"), f"$.{x.array}", f"array<struct<`{x.role}`:string,`{x.text}`:string>>")
-            found = _as_turns(each, x.role, x.text)
-        else:
-            found = F.array(*[F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *[
-                F.when(at(p, "string") != "", at(p, "string")) for p in paths]).alias("text")) for role, paths in x.turns])
         hit = F.col("_print") == _of_layout(x, known)
-        name, turns = F.when(hit, F.lit(x.name)).otherwise(name), F.when(hit, found).otherwise(turns)
+        name, turns = F.when(hit, F.lit(x.name)).otherwise(name), F.when(hit, _turns_of(doc, x)).otherwise(turns)
     return here.select("conv_id", name.alias("layout"), turns.alias("turns"))
 
 
@@ -129,20 +200,20 @@ def canonical(df: DataFrame, conv_id: str = "conv_id", layouts: tuple[Layout, ..
     left aside. Raises ValueError if no layout has it. Layout ``rows`` holds a turn per row:
     turns go by their number, null first, then role, then text; rows that are equal in all
     three stay. A null role or text is empty. A row without id belongs to the conversation with
-    id NULL. All other layouts hold a conversation per row.
+    id NULL. All other layouts hold a conversation per row. A conversation is gathered in one row, however many turns it has.
     """
-    own = set(schema_paths(df.schema))
     spark = df.sparkSession
     layout = None
     # The id is no part of the other layouts, so they are told apart without the paths of ``rows``.
     for some in ([x for x in layouts if x.name == "rows"], [x for x in layouts if x.name != "rows"]):
         known = _known(tuple(some))
+        own = text_paths(schema_paths(df.schema), known)
         prints = spark.range(1).select(
             fingerprint([F.lit(p in own) for p in known], known).alias("own"),
             *[_of_layout(x, known).alias(x.name) for x in some]).first()
         layout = layout or next((x for x in some if prints[x.name] == prints["own"]), None)
     if layout is None:
-        raise ValueError(f"no layout has the field paths {sorted(own)}")
+        raise ValueError(f"no layout has the field paths {schema_paths(df.schema)}")
     if layout.name != "rows":
         return canonical_records(df.select(F.col(conv_id), F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
                                            .alias("_record")), "_record", conv_id, layouts)
