@@ -154,16 +154,24 @@ def _marks(doc: Column, path: str, known: list[str]) -> Column:
     return F.when(F.exists(each, lambda x: x != ""), F.when(F.forall(each, lambda x: x == path), F.lit(path)).otherwise(F.lit(path + "!")))
 
 
-def _turns_of(doc: Column, layout: Layout) -> Column:
-    def from_fields(turns):
-        return F.array(*[F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *[
-            F.when(_text(_field(doc, p)) != "", _text(_field(doc, p))) for p in paths]).alias("text")) for role, paths in turns])
+def _readers(doc: Column, layouts: tuple[Layout, ...]) -> tuple[dict[str, Column], dict[tuple[str, str, str], Column]]:
+    """The text of each field and the turns of each array that a layout names; every one is built once for all layouts."""
+    fields = {p for x in layouts for _, paths in (*x.before, *x.after) for p in paths}
+    texts = {p: _text(_field(doc, p)) for p in sorted(fields)}
 
-    def from_array(array, role, text):
+    def turns(array: str, role: str, text: str) -> Column:
         return F.transform(_elements(_field(doc, array)), lambda m: F.struct(
             _role(_text(_field(m, role))).alias("role"), _text(_field(m, text)).alias("text")))
 
-    parts = [*([from_fields(layout.before)] if layout.before else []), *[from_array(*a) for a in layout.arrays],
+    return texts, {a: turns(*a) for a in sorted({a for x in layouts for a in x.arrays})}
+
+
+def _turns_of(layout: Layout, texts: dict[str, Column], arrays: dict[tuple[str, str, str], Column]) -> Column:
+    def from_fields(turns):
+        return F.array(*[F.struct(F.lit(role).alias("role"), F.concat_ws("\n", *[
+            F.nullif(texts[p], F.lit("")) for p in paths]).alias("text")) for role, paths in turns])
+
+    parts = [*([from_fields(layout.before)] if layout.before else []), *[arrays[a] for a in layout.arrays],
              *([from_fields(layout.after)] if layout.after else [])]
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
@@ -187,9 +195,10 @@ def canonical_records(records: DataFrame, record: str = "record", conv_id: str =
     doc = F.col("_doc")
     here = here.withColumn("_print", F.xxhash64(F.concat_ws("\n", *[_marks(doc, p, known) for p in known])))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(_TURNS)
+    texts, arrays = _readers(doc, layouts)
     for x in layouts:
         hit = F.col("_print") == _of_layout(x, known)
-        name, turns = F.when(hit, F.lit(x.name)).otherwise(name), F.when(hit, _turns_of(doc, x)).otherwise(turns)
+        name, turns = F.when(hit, F.lit(x.name)).otherwise(name), F.when(hit, _turns_of(x, texts, arrays)).otherwise(turns)
     return here.select("conv_id", name.alias("layout"), turns.alias("turns"))
 
 
