@@ -110,3 +110,31 @@ def test_of_a_page_landed_twice_the_newest_counts(spark, tmp_path):
         os.utime(folder / name, (changed, changed))
     parsed = P.parse_pages(P.read_landing(spark, str(tmp_path)))
     assert [r["announced"] for r in parsed.collect()] == [1] and P.explode_rows(parsed).count() == 1
+
+
+def test_many_page_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """Folders and not cores decided on the number of listing tasks; starting them took most of the time."""
+    from pyspark.sql import functions as F
+
+    landed = spark.range(90).select(F.lit("[{},[]]").alias("body"), F.lit("A").alias("code"), F.col("id").cast("int").alias("page"))
+    landed.repartition("page").write.partitionBy("code", "page").text(str(tmp_path / "landing"))
+    limit = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    had, cores, sc = spark.conf.get(limit, None), spark.sparkContext.defaultParallelism, spark.sparkContext
+    spark.conf.unset(limit)
+    try:
+        sc.setJobGroup("listing", "folders")
+        pages = P.read_landing(spark, str(tmp_path / "landing"))
+        P.stream_landing(spark, str(tmp_path / "landing"))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        tracker = sc.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+        assert tasks and max(tasks) <= 4 * cores
+        assert pages.count() == 90
+        spark.conf.set(limit, "7")
+        P.read_landing(spark, str(tmp_path / "landing"))
+        assert spark.conf.get(limit) == "7"      # what the session has set stays
+    finally:
+        spark.conf.unset(limit)
+        if had is not None:
+            spark.conf.set(limit, had)
