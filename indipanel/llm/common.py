@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import scratch
+from ..session import scratch, small_batches
 
 # A word: a run of characters that are neither blank nor \t..\r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -65,16 +65,19 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField],
           one array per field
 
     Neither the rows of a task nor a whole Arrow batch are worked on at once, only
-    slices of it, so that memory is bounded by the longest text.
+    slices of it, so that memory is bounded by the longest text. A text that is kept too is sent once.
     """
+    small_batches(df.sparkSession)
     schema = T.StructType([*[df.schema[c] for c in keep], *fields])
     arrow = to_arrow_schema(schema)
     n_kept = len(keep)
+    sent = text in keep and df.schema[text].dataType == T.StringType()
+    place = keep.index(text) if sent else n_kept
 
     def run(batches):
         fill = make()
         for batch in batches:
-            texts, kept = batch.column(n_kept), batch.select(list(range(n_kept)))
+            texts, kept = batch.column(place), batch.select(list(range(n_kept)))
             for part in slices(texts, slice_bytes):
                 rows = kept.slice(part.start, part.stop - part.start)
                 made = fill(texts.slice(part.start, part.stop - part.start))
@@ -84,8 +87,8 @@ def map_texts(df: DataFrame, text: str, fields: list[T.StructField],
             del batch, texts, kept
             pa.default_memory_pool().release_unused()
 
-    picked = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("_text"))
-    return picked.mapInArrow(run, schema)
+    picked = [F.col(f"`{c}`") for c in keep] + ([] if sent else [F.col(text).cast("string").alias("_text")])
+    return df.select(*picked).mapInArrow(run, schema)
 
 
 class Remembered:

@@ -338,5 +338,6 @@ def score(df: DataFrame, model: Model, keep: list[str] = ("doc_id",), text: str
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
-    rows = docs.select(F.struct("*").alias("_row"), "text")
-    return score(rows, fit(docs, labels, **how), ["_row"]).filter("predicted = 0").select("_row.*")
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("_row"), "text")
+    scored = score(rows, fit(docs, labels, **how), ["_row", "text"])
+    return scored.filter("predicted = 0").select("_row.*", "text").select(*docs.columns)
