@@ -114,6 +114,13 @@ class Remembered:
                 self.add(key, value)
         return value
 
+    def find_all(self, keys: list[bytes]) -> list[bytes | None]:
+        found = list(map(self.new.get, keys))
+        for k, value in enumerate(found):
+            if value is None:
+                found[k] = self.find(keys[k])
+        return found
+
     def add(self, key: bytes, value: bytes) -> None:
         if len(self.new) >= self.half:
             self.new, self.old = {}, self.new

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -60,13 +61,13 @@ class PieceEncoder:
         self.known = Remembered(remembered)
 
     def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
-        ids = [self.known.find(p) for p in pieces]
+        ids = self.known.find_all(pieces)
         missing = [k for k, found in enumerate(ids) if found is None]
         for i in range(0, len(missing), 8192):
             part = missing[i: i + 8192]
             done = self.tokenizer.encode_batch_fast([pieces[k].decode() for k in part], add_special_tokens=False)
             for k, e in zip(part, done):
-                ids[k] = np.array(e.ids, np.uint32).tobytes()
+                ids[k] = array("I", e.ids).tobytes()
                 if len(pieces[k]) <= LONGEST:
                     self.known.add(pieces[k], ids[k])
         return ids

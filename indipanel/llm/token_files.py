@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from ..session import small_batches
 from .common import kept_table, slices, text_buffer
 from .range_coder import BLOCK_IDS, LANES, decode_blocks, encode_blocks
 from .subwords import PieceEncoder
@@ -30,6 +31,9 @@ VOCABULARY = "word_bpe_49k.json"
 # Bytes of text encoded at once: the work arrays take 20 to 30 times as much.
 SLICE_BYTES = 1 << 20
 
+# Pieces a task remembers: rare words make up most of a text's different pieces, and their encoding most of its time.
+REMEMBERED = 300_000
+
 BLOCKS = "shard int, block long, payload binary"
 
 _HEAD = "<4sIIIII"
@@ -102,7 +106,7 @@ def write_token_files(df: DataFrame, path: str | None = None, doc_id: str = "doc
     def run(batches):
         tokenizer = Tokenizer.from_file(path)
         max_id = max(tokenizer.get_vocab_size() - 1, end_id)
-        encoder, shard = PieceEncoder(tokenizer, fold_ascii=True, special=True), TaskContext.get().partitionId()
+        encoder, shard = PieceEncoder(tokenizer, fold_ascii=True, remembered=REMEMBERED, special=True), TaskContext.get().partitionId()
 
         def parts():
             for batch in batches:
@@ -125,6 +129,7 @@ def write_token_files(df: DataFrame, path: str | None = None, doc_id: str = "doc
                  pa.array(payloads, pa.binary())], names=["shard", "block", "payload"])
             block += len(payloads)
 
+    small_batches(df.sparkSession)
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     return kept_table(ordered.mapInArrow(run, BLOCKS), name)
@@ -166,6 +171,7 @@ def read_token_files(blocks: DataFrame) -> DataFrame:
         if waiting:
             yield decoded(waiting)
 
+    small_batches(blocks.sparkSession)
     ordered = blocks.repartition("shard").sortWithinPartitions("shard", "block").select("shard", "payload")
     docs = kept_table(ordered.mapInArrow(run, "shard int, doc_id long, place long, n_tokens long, ids_crc32 long"), "read_ids")
     # One row per shard: the window over all of them is small.
