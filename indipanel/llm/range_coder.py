@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK_IDS = 4096  # ids of a block
-LANES = 1024  # blocks coded side by side
+LANES = 2048  # blocks coded side by side
 
 _SHIFT = 9
 _SLOTS = 4096
@@ -46,12 +46,13 @@ class _Model:
     the model has a row for order 1 and one for order 2.
     """
 
-    def __init__(self, lanes: int, max_id: int):
+    def __init__(self, lanes: int, max_id: int, counts: bool = True):
         self.buckets = (max_id >> _SHIFT) + 1
         self.groups = -(-self.buckets // _SIDE)
         self.small = np.uint8 if self.groups < 256 else np.int64  # holds the number of a group
-        self.starts = np.repeat(np.arange(self.groups, dtype=np.int32)[:, None] * _SIDE, lanes, 1)
-        self.inner = np.tile(np.arange(_SIDE + 1, dtype=np.int32), (lanes * self.groups, 1))
+        held = lanes if counts else 0
+        self.starts = np.repeat(np.arange(self.groups, dtype=np.int32)[:, None] * _SIDE, held, 1)
+        self.inner = np.tile(np.arange(_SIDE + 1, dtype=np.int32), (held * self.groups, 1))
         self.grid = np.arange(self.groups, dtype=np.int32)[:, None]
         self.tables = np.zeros(2 * lanes * _SLOTS, np.int32)
         self.trust = np.concatenate([np.tile(np.arange(400, 3061, 380, dtype=np.int32) + 200 * k, lanes) for k in range(2)])
@@ -71,12 +72,15 @@ class _Model:
 
     def predict(self) -> None:
         """The next ids by order 1 and 2 and the mass of each prediction, against the mass of order 0."""
-        self.mass0 = (self.buckets + _GAIN * self.step) << _SHIFT
         self.slots = self.first_slot.copy()
         hashed = self.last * 40503
         self.slots[0] += (hashed >> 3) & (_SLOTS - 1)
         self.slots[1] += ((hashed + self.before * 26699) >> 2) & (_SLOTS - 1)
-        self.entry = self.tables.take(self.slots)
+        self._look()
+
+    def _look(self) -> None:
+        self.mass0 = (self.buckets + _GAIN * self.step) << _SHIFT
+        self.entry = self.tables.take(self.slots, mode="wrap")  # all are inside; this asks less
         self.level = self.entry & 7
         self.guess = self.entry >> 3
         self.sure = self.first_trust + self.level
@@ -98,9 +102,8 @@ class _Model:
         low, each = self._counts(ids)
         return (low << _SHIFT) + (ids & ((1 << _SHIFT) - 1)) * each, each
 
-    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        below, each = self.order0(ids)
-        short = ids.astype(np.int32)
+    def interval(self, short: np.ndarray, below: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The interval of ids (as int32), given theirs by order 0."""
         under, equal = self.mass * (self.guess < short), self.mass * (self.guess == short)
         return below + under[0] + under[1], each + equal[0] + equal[1]
 
@@ -137,19 +140,82 @@ class _Model:
 
     def learn(self, ids: np.ndarray) -> None:
         short = ids.astype(np.int32)
-        hit = self.guess == short
-        self.trust[self.sure] = _NEXT_TRUST.take(self.right + hit * np.int32(_ONE))
-        case = self.level + hit * np.int32(8)
-        self.tables[self.slots] = np.where(_REPLACED.take(case), short << 3, self.entry + _ADDED.take(case))
+        self._follow(short)
         group = short >> _SHIFT + 3
         self.starts += (self.grid > group) * np.int32(_GAIN)
         row = self.lane * self.groups + group
         counts = self.inner.take(row, 0) + _BESIDE.take((short >> _SHIFT) & _SIDE - 1, 0)
         self.inner.view(_ROW)[row] = counts.view(_ROW)
         self.before, self.last = self.last, ids
+
+    def _follow(self, short: np.ndarray) -> None:
+        """Order 1 and 2 learn the ids; the counts of order 0 stay."""
+        hit = self.guess == short
+        self.trust[self.sure] = _NEXT_TRUST.take(self.right + hit * np.int32(_ONE))
+        case = self.level + hit * np.int32(8)
+        self.tables[self.slots] = np.where(_REPLACED.take(case), short << 3, self.entry + _ADDED.take(case))
         self.step += 1
 
 
+class _Known(_Model):
+    """The state of all lanes where the ids are known beforehand: the counts of ranges and the places of
+    contexts are made for some steps of all lanes at once.
+
+    The ids of a range among a lane's earlier ones are those before these steps, from a table of counts, and those
+    in these steps, each compared with all before it.
+    """
+
+    def __init__(self, ids: np.ndarray, max_id: int):
+        super().__init__(ids.shape[1], max_id, counts=False)
+        self.ids = ids
+        self.steps = min(max(64, self.buckets // 8), 255)  # numbers below 256 count within them
+        self.kind = np.uint8 if self.buckets <= 256 else np.uint32
+        self.counts = np.zeros((ids.shape[1], self.buckets), np.int32)
+
+    def _prepare(self) -> None:
+        lanes, first = len(self.lane), self.step
+        ids = self.ids[first: first + self.steps, :lanes]
+        n = len(ids)
+        ranges = (ids >> _SHIFT).astype(self.kind)
+        less, same = np.zeros((2, n, lanes), np.uint8)
+        found = np.empty((n, lanes), bool)
+        for back in range(1, n):
+            for compare, count in ((np.less, less[back:]), (np.equal, same[back:])):
+                compare(ranges[:-back], ranges[back:], out=found[back:])
+                count += found[back:].view(np.uint8)
+        place = (ids >> _SHIFT) + self.lane * self.buckets
+        counts = self.counts[:lanes]
+        up_to = np.cumsum(counts, 1, dtype=np.int32).ravel().take(place)
+        each = counts.ravel().take(place)
+        low = up_to - each + less
+        each += same
+        each *= _GAIN
+        each += 1
+        self.each = each
+        self.below = ((low.astype(np.int64) * _GAIN + (ids >> _SHIFT)) << _SHIFT) + (ids & ((1 << _SHIFT) - 1)) * each
+        counts += np.bincount(place.ravel(), minlength=counts.size).reshape(counts.shape)
+        before = np.zeros((n + 2, lanes), np.int64)
+        before[max(2 - first, 0):] = self.ids[max(first - 2, 0): first + n, :lanes]
+        hashed = before[1:-1] * 40503
+        self.places = np.stack([(hashed >> 3) & (_SLOTS - 1), ((hashed + before[:-2] * 26699) >> 2) & (_SLOTS - 1)], 1)
+        self.places += self.first_slot
+        self.short = ids.astype(np.int32)
+
+    def next(self, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals of the next ids of the first lanes, which are learned too; self.total has the whole mass."""
+        at = self.step % self.steps
+        if lanes < len(self.lane):
+            self.cut(lanes)
+        if at == 0:
+            self._prepare()
+        self.slots = self.places[at, :, :lanes]
+        self._look()
+        short = self.short[at, :lanes]
+        below, each = self.interval(short, self.below[at, :lanes], self.each[at, :lanes])
+        self._follow(short)
+        return below, each
+
+
 def _in_lanes(sizes: list[int]) -> list[np.ndarray]:
     """Blocks in sets of up to LANES, the longest first."""
     order = np.argsort(-np.array(sizes, np.int64), kind="stable")
@@ -166,22 +232,17 @@ def _encode(blocks: list[np.ndarray], max_id: int) -> list[bytes]:
     ids = np.zeros((sizes[0], lanes), np.int64)
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
-    model = _Model(lanes, max_id)
+    model = _Known(ids, max_id)
     words = np.zeros((3 * int(sizes[0]) + 8, lanes), np.uint32)  # the words at one place of all lanes lie together
     flat, put = words.ravel(), np.arange(lanes)  # where each lane's next word goes
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    for step, n in enumerate(_lanes_left(sizes)):
-        if n < len(model.lane):
-            model.cut(n)
-        x = ids[step, :n]
-        model.predict()
-        below, each = model.interval(x)
+    for n in _lanes_left(sizes):
+        below, each = model.next(n)
         unit = width[:n] // model.total.astype(np.uint64)
         moved = low[:n] + unit * below.astype(np.uint64)
         over = np.flatnonzero(moved < low[:n])
         flat[put[over] - lanes] += 1
         low[:n], width[:n] = moved, unit * each.astype(np.uint64)
-        model.learn(x)
         # every lane writes a word; where the place does not move on, the next one takes its place
         small = width[:n] < _FLOOR
         flat[put[:n]] = low[:n] >> np.uint64(48)

@@ -9,6 +9,7 @@ it has in all blocks (64 bits). Blocks lie in Parquet files, whose commits survi
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -28,11 +29,14 @@ from .subwords import PieceEncoder
 
 VOCABULARY = "word_bpe_49k.json"
 
-# Bytes of text encoded at once: the work arrays take 20 to 30 times as much.
+# Bytes of text cut into pieces and written at once: the work arrays take 20 to 30 times as much.
 SLICE_BYTES = 1 << 20
 
-# Pieces a task remembers: rare words make up most of a text's different pieces, and their encoding most of its time.
-REMEMBERED = 300_000
+# Bytes of text whose different pieces are looked up together: they are held as pieces, about four times as much.
+GROUP_BYTES = 16 << 20
+
+# Pieces a worker remembers: rare words make up most of a text's different pieces, and their encoding most of its time.
+REMEMBERED = 600_000
 
 BLOCKS = "shard int, block long, payload binary"
 
@@ -92,6 +96,20 @@ def blocks_of(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[list[t
         yield take(max(-(-len(ids) // BLOCK_IDS), 1))
 
 
+_encoders: dict[tuple, tuple[PieceEncoder, int]] = {}
+
+
+def encoder_of(path: str) -> tuple[PieceEncoder, int]:
+    """The encoder of a tokenizer's file and its largest id; a worker keeps it for its next tasks, one file at a time."""
+    state = os.stat(path)
+    key = path, state.st_mtime_ns, state.st_size
+    if key not in _encoders:
+        _encoders.clear()
+        tokenizer = Tokenizer.from_file(path)
+        _encoders[key] = PieceEncoder(tokenizer, fold_ascii=True, remembered=REMEMBERED, special=True), tokenizer.get_vocab_size() - 1
+    return _encoders[key]
+
+
 def write_token_files(df: DataFrame, path: str | None = None, doc_id: str = "doc_id", text: str = "text",
                       end_id: int = 2, name: str = "token_files") -> DataFrame:
     """Writes the ids of all texts, an end id behind each, in the order of doc_id; gives the stored blocks.
@@ -104,22 +122,31 @@ def write_token_files(df: DataFrame, path: str | None = None, doc_id: str = "doc
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches):
-        tokenizer = Tokenizer.from_file(path)
-        max_id = max(tokenizer.get_vocab_size() - 1, end_id)
-        encoder, shard = PieceEncoder(tokenizer, fold_ascii=True, remembered=REMEMBERED, special=True), TaskContext.get().partitionId()
+        encoder, largest = encoder_of(path)
+        max_id, shard = max(largest, end_id), TaskContext.get().partitionId()
+
+        def encoded(cuts, tables):
+            for (ids, at), entries in zip(encoder.encode_all(cuts), tables):
+                entries["n_ids"] = np.diff(at) + 1
+                yield np.insert(ids, at[1:], np.uint32(end_id)), entries
 
         def parts():
+            cuts, tables, held = [], [], 0
             for batch in batches:
-                texts = batch.column(1)
-                for part in slices(texts, SLICE_BYTES):
+                for part in slices(batch.column(1), SLICE_BYTES):
                     rows = batch.slice(part.start, part.stop - part.start)
-                    ids, at = encoder.encode(*text_buffer(rows.column(1)))
-                    with_end = np.insert(ids, at[1:], np.uint32(end_id))
                     entries = np.zeros(rows.num_rows, _ENTRY)
                     entries["doc_id"] = rows.column(0).fill_null(0).to_numpy(zero_copy_only=False)
                     entries["named"] = rows.column(0).is_valid().to_numpy(zero_copy_only=False)
-                    entries["n_ids"] = np.diff(at) + 1
-                    yield with_end, entries
+                    data, bounds = text_buffer(rows.column(1))
+                    cuts.append(encoder.cut(data, bounds))
+                    tables.append(entries)
+                    held += len(data)
+                    if held >= GROUP_BYTES:
+                        yield from encoded(cuts, tables)
+                        cuts, tables, held = [], [], 0
+            if cuts:
+                yield from encoded(cuts, tables)
 
         block = 0
         for some in blocks_of(parts()):
