@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .. import rules as R
 from ..functions import dictionary
+from . import bagging
+from .bagging import bin_of
 from .evaluate import class_weights
 from .ranks import exact_median
 
@@ -48,35 +50,46 @@ def feature_medians(df: DataFrame, features: list[str]) -> DataFrame:
     return exact_median(doubles.unpivot([], [F.col(f) for f in features], "feature", "value"), ["feature"], "value")
 
 
-def _imputer(medians: dict[str, float]) -> SQLTransformer:
-    filled = ", ".join(f"coalesce(cast(`{f}` as double), {m!r}D) AS `_in_{f}`" for f, m in medians.items())
-    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+def _imputer(medians: dict[str, float], bounds: dict[str, list[float]] = {}) -> SQLTransformer:
+    """Fills gaps with the median and, for a feature with bounds, puts the number of its bin in place of the value."""
+    filled = {f"_in_{f}": f"coalesce(cast(`{f}` as double), {m!r}D)" for f, m in medians.items()}
+    binned = {c: bin_of(value, bounds[c]) if c in bounds else value for c, value in filled.items()}
+    return SQLTransformer(statement=f"SELECT *, {', '.join(f'{v} AS `{c}`' for c, v in binned.items())} FROM __THIS__")
 
 
 def fit_forest(train: DataFrame, features: list[str], label: str = "income_level",
                prediction: str = "income_level_predit", forest: Forest = Forest()) -> PipelineModel:
     """Median imputer, assembler, forest and label names as one saveable model.
 
-    What reaches the driver is one median per feature and one count per class. The
+    What reaches the driver is one median per feature, one count per class and the bounds of bins. The
     label is indexed here and not in the saved model, which must take unlabelled rows.
-    The rows keep their node of each tree from one level to the next, else every level
+    Many rows are merged by their bins, with the bootstrap of all of them (``bagging``). In one fit
+    of Spark's forest the rows keep their node of each tree from one level to the next, else every level
     walks all trees again from the root; the trees are the same.
     """
     known = {r["feature"]: r["median"] for r in feature_medians(train, features).collect()}
     medians = {f: known[f] for f in features if f in known}
-    weights = {r[label]: r["weight"] for r in class_weights(train, label).collect()}
+    counted = class_weights(train, label).collect()
+    weights = {r[label]: r["weight"] for r in counted}
     classes = sorted(weights)
+    merge = sum(r["n"] for r in counted) >= bagging.MANY_ROWS
 
     imputer = _imputer(medians)
+    if merge:
+        inputs = [f"_in_{f}" for f in medians]
+        imputer = _imputer(medians, bagging.bounds(imputer.transform(train), inputs, forest.bins))
     assembler = VectorAssembler(inputCols=[f"_in_{f}" for f in medians], outputCol="_features")
     index = dictionary(label, {c: str(float(i)) for i, c in enumerate(classes)}).cast("double")
     weight = dictionary(label, {c: repr(weights[c]) for c in classes}).cast("double")
-    table = assembler.transform(imputer.transform(train)).select(
-        "_features", index.alias("_label"), weight.alias("_weight"))
-    model = RandomForestClassifier(
+    settings = RandomForestClassifier(
         featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_predicted",
         probabilityCol="", rawPredictionCol="_raw", numTrees=forest.trees, maxDepth=forest.depth,
-        maxBins=forest.bins, maxMemoryInMB=forest.memory_mb, cacheNodeIds=True, seed=forest.seed).fit(table)
+        maxBins=forest.bins, maxMemoryInMB=forest.memory_mb, cacheNodeIds=True, seed=forest.seed)
+    filled, target = imputer.transform(train), [index.alias("_label"), weight.alias("_weight")]
+    if merge:
+        model = bagging.fit_merged(filled.select(*inputs, *target), assembler, "_label", "_weight", classes, settings)
+    else:
+        model = settings.fit(assembler.transform(filled).select("_features", *target))
     names = IndexToString(inputCol="_predicted", outputCol=prediction, labels=classes)
     return PipelineModel(stages=[imputer, assembler, model, names])
 
