@@ -81,7 +81,7 @@ def _landed_files(spark, name):
     return [f for folder in new for f in files(f"{folder}/landing")]
 
 
-@pytest.mark.parametrize("name", ["stream_broken_landing"])
+@pytest.mark.parametrize("name", ["stream_broken_landing", "ingest_stream"])
 def test_queries_land_bundles(spark, name):
     """Both landings of five event types: 100 pages and more of them once were as many folders."""
     assert 0 < len(_landed_files(spark, name)) <= 20
